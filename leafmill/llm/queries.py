@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import bpe, lookalike, neardup, packing, pieces
+from leafmill.llm import bpe, charset, lookalike, neardup, packing, pieces
 from leafmill.session import table
 
 
@@ -16,6 +16,14 @@ def limit_of(spark: SparkSession, sf_dir: str, name: str) -> tuple[int, int]:
     return int(row["max_size"]), int(row["overlap_size"] or 0)
 
 
+def p1_restored(spark: SparkSession, d: str) -> DataFrame:
+    return charset.restored_fields(table(spark, d, "wrap_oss_page"), "page_id", ["title", "body"]).withColumnRenamed("id", "page_id")
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return p1_restored(spark, d).select("page_id", "field_name")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     members, links = neardup.near_duplicates(table(spark, d, "wrap_oss_page"), "page_id", "body", 0.6, 3)
     return neardup.pairs_of(members, links, ("page_id_a", "page_id_b"))
@@ -58,7 +66,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p2_found, p2_groups, p5_found, p5_pieces, p6_ids, p7_found, p7_containers, p8_found, p8_forms)
+    f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p5_found, p5_pieces, p6_ids, p7_found, p7_containers, p8_found, p8_forms)
 }
 
 SQL: dict[str, str] = {
