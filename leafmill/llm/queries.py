@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import bpe, charset, lookalike, neardup, packing, pieces
+from leafmill.llm import bpe, charset, lookalike, neardup, packing, pieces, scan
 from leafmill.session import table
 
 
@@ -34,6 +34,14 @@ def p2_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.groups_of(members, links).withColumnRenamed("id", "page_id")
 
 
+def p4_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return scan.scan_noise(table(spark, d, "wrap_oss_page"), "page_id", "body", "title")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return p4_repaired(spark, d).select("page_id")
+
+
 def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
     limit, overlap = limit_of(spark, d, "page_piece")
     return pieces.pieces(table(spark, d, "wrap_oss_page"), "page_id", "body", limit, overlap)
@@ -66,7 +74,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p5_found, p5_pieces, p6_ids, p7_found, p7_containers, p8_found, p8_forms)
+    f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p4_found, p4_repaired, p5_found, p5_pieces, p6_ids, p7_found, p7_containers, p8_found, p8_forms)
 }
 
 SQL: dict[str, str] = {
