@@ -1,0 +1 @@
+"""Operators over observations: choice, conflicts, reviews, adoption, captures and storage."""

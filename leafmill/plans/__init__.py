@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from leafmill.plans import storage
+from leafmill.plans import knowledge, storage
 
-MODULES = (storage,)
+MODULES = (knowledge, storage)
 
 
 def all_queries() -> dict[str, Callable]:
