@@ -226,7 +226,7 @@ def front_matter(text: Column) -> Column:
     scalars = F.filter(lines, lambda x: ~value(x).rlike("^\\[.*\\]$|\u0001"))
     listed = F.filter(lines, lambda x: value(x).rlike("^\\[.*\\]$|\u0001"))
     unquoted = lambda x: F.regexp_replace(F.trim(x), r"""^["'](.*)["']$""", "$1")
-    items = lambda x: F.filter(F.transform(F.split(F.regexp_replace(value(x), r"^\[|\]$", ""), "\u0001|,(?![^\u0001]*\u0001)"), unquoted), lambda v: v != "")
+    items = lambda x: F.filter(F.transform(F.when(F.contains(value(x), F.lit("\u0001")), F.split(value(x), "\u0001")).otherwise(F.split(F.regexp_replace(value(x), r"^\[|\]$", ""), ",")), unquoted), lambda v: v != "")
     last = lambda keys, values: F.map_from_entries(F.array_compact(F.transform(keys, lambda x, i: F.when(F.array_position(F.slice(F.transform(keys, key), i + 2, F.size(keys)), key(x)) == 0, F.struct(key(x), values(x))))))
     body = F.regexp_replace(t, r"(?s)\A---\n.*?\n---\n?", "")
     return F.struct(last(scalars, lambda x: unquoted(value(x))).alias("front"), last(listed, items).alias("lists"), body.alias("body"))

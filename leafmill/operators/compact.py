@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,10 +80,9 @@ def ranged(df: DataFrame, keys: list[str], bounds: list[tuple]) -> DataFrame:
     return df.sortWithinPartitions(*(F.col(k).asc_nulls_last() for k in keys))
 
 
-def checksum(df: DataFrame) -> tuple[int, int]:
-    """Rows, and a sum over the rows' hashes that doesn't depend on their order."""
-    row = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(20,0)")), F.lit(0)).alias("h")).first()
-    return row["n"], int(row["h"])
+def checksum(df: DataFrame) -> list[Column]:
+    """Aggregates n and h: the rows, and a sum over the rows' hashes that doesn't depend on their order."""
+    return [F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(20,0)")), F.lit(0)).alias("h")]
 
 
 def with_survivors(df: DataFrame, id_col: str, group: str, number: str, content: str) -> DataFrame:
@@ -95,13 +94,14 @@ def with_survivors(df: DataFrame, id_col: str, group: str, number: str, content:
     """
     hash_ = free_name(df.columns, "content_hash")
     narrow = df.select(id_col, group, number, F.sha2(content, 256).alias(hash_))
-    numbered = narrow.where(F.col(group).isNotNull() & F.col(number).isNotNull())
+    nameless = df.where(F.col(id_col).isNull())  # a row without id can be named by no other: it stays
+    numbered = narrow.where(F.col(id_col).isNotNull() & F.col(group).isNotNull() & F.col(number).isNotNull())
     kept = numbered.groupBy(group, number).agg(F.min(id_col).alias(id_col)).select(id_col)
-    loose = narrow.where(F.col(group).isNotNull() & F.col(number).isNull() & F.col(hash_).isNotNull())
+    loose = narrow.where(F.col(id_col).isNotNull() & F.col(group).isNotNull() & F.col(number).isNull() & F.col(hash_).isNotNull())
     first = loose.groupBy(group, hash_).agg(F.min(id_col).alias(id_col))
     first = first.join(numbered.select(group, hash_), [group, hash_], "left_anti").select(id_col)
     alone = narrow.where(F.col(group).isNull() | F.col(number).isNull() & F.col(hash_).isNull()).select(id_col)
-    return df.join(kept.unionByName(first).unionByName(alone).distinct(), id_col, "left_semi")
+    return df.join(kept.unionByName(first).unionByName(alone).distinct(), id_col, "left_semi").unionByName(nameless)
 
 
 def cluster(df: DataFrame, keys: list[str], size: str, target_bytes: int, path: str) -> tuple[DataFrame, int]:
@@ -110,7 +110,7 @@ def cluster(df: DataFrame, keys: list[str], size: str, target_bytes: int, path:
     Raises, and removes what it wrote, unless the written rows are exactly the rows given.
     """
     spark = df.sparkSession
-    before = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
+    before = df.agg(*checksum(df), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
     files = max(1, math.ceil(before["b"] / target_bytes))
     ranges = min(files, MAX_RANGES)
     bounds = boundaries(df, keys, size, ranges, before["n"])
@@ -119,7 +119,8 @@ def cluster(df: DataFrame, keys: list[str], size: str, target_bytes: int, path:
         writer = writer.option("maxRecordsPerFile", max(1, math.ceil(before["n"] / files)))
     writer.parquet(path)
     written = spark.read.schema(df.schema).parquet(path)
-    if checksum(written) != checksum(df):
+    after = written.agg(*checksum(written)).first()
+    if (after["n"], after["h"]) != (before["n"], before["h"]):
         drop_path(spark, path)
         raise RuntimeError("the rows written are not the rows read; nothing was changed")
     return written, len(bounds) + 1

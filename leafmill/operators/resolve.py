@@ -11,6 +11,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.functions.text import numeric_literal
+from leafmill.session import free_name, materialise
+
 
 def rank_of(value: str | Column, order: list[str]) -> Column:
     """The place of a value in an explicit order of trust; unknown and null ones come last."""
@@ -30,10 +33,13 @@ def choose(df: DataFrame, keys: list[str], order: list[Column], carried: list[st
 
 
 def conflicts(df: DataFrame, key: str, value: str) -> DataFrame:
-    """(key, n_values, values): keys printed with more than one value; nulls are no value."""
+    """(key, value, n_values): each value of the keys printed with more than one; nulls are no value.
+
+    One row a value, so that no key's values are gathered, however many there are.
+    """
     each = df.where(F.col(key).isNotNull() & F.col(value).isNotNull()).select(key, value).distinct()
-    many = each.groupBy(key).agg(F.count("*").alias("n_values"), F.array_sort(F.collect_list(value)).alias("values"))
-    return many.where("n_values > 1")
+    many = each.groupBy(key).agg(F.count("*").alias("n_values")).where("n_values > 1")
+    return each.join(many, key).select(key, value, "n_values")
 
 
 def adopt(own: DataFrame, other: DataFrame, key: str, layer: str) -> DataFrame:
@@ -56,7 +62,7 @@ def prefix_matches(df: DataFrame, key: str, prefixes: DataFrame, prefix: str) ->
     lengths = prefixes.select(F.length(prefix).alias("n")).where("n > 0").distinct()
     lengths = sorted(r["n"] for r in lengths.collect())  # lengths of short strings: a handful, whatever the number of prefixes
     if not lengths:
-        return df.select(key).limit(0).crossJoin(prefixes.select(prefix).limit(0))
+        return df.select(key).where("false").withColumn(prefix, F.lit(None).cast("string"))
     cut = F.explode(F.array(*(F.when(F.length(key) >= n, F.substring(key, 1, n)) for n in lengths)))
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
     return keys.withColumn(prefix, cut).where(F.col(prefix).isNotNull()).join(prefixes.select(prefix).distinct(), prefix).select(key, prefix)
@@ -75,8 +81,6 @@ def reviewed_headers(names: DataFrame, name: str, value: str, reviews: DataFrame
     hits = prefix_matches(own, "name", of("prefix").select(F.col("review_key").alias("prefix")), "prefix")
     by_prefix = hits.join(of("prefix"), F.col("prefix") == F.col("review_key")).select("name", (F.lit(1000) - F.length("prefix")).alias("place"), "review_scope", "header_file", "verdict")
     base = (F.floor(F.col("value") / base_width) * base_width).cast("decimal(20,0)")
-    from leafmill.functions.text import numeric_literal
-
     bases = of("value-base").withColumn("base", numeric_literal(F.col("review_key")))
     by_base = own.where("value >= 0").withColumn("base", base).join(bases, "base").select("name", F.lit(2000).alias("place"), "review_scope", "header_file", "verdict")
     found = by_name.unionByName(by_prefix).unionByName(by_base)
@@ -96,10 +100,24 @@ def suffix_pairs(symbols: DataFrame, name: str) -> DataFrame:
 
 
 def collapse_runs(df: DataFrame, group: str, order: list[str], value: str) -> DataFrame:
-    """Of each run of equal values within a group, in order, the first row (not a global distinct)."""
-    w = Window.partitionBy(group).orderBy(*order)
-    marked = df.withColumn("_before", F.lag(value).over(w)).withColumn("_first", F.row_number().over(w) == 1)
-    return marked.where(F.col("_first") | ~F.equal_null(F.col("_before"), F.col(value))).drop("_before", "_first")
+    """Of each run of equal values within a group, in order, the first row (not a global distinct).
+
+    The rows are range-partitioned by group and order and written once, so a group that holds a large part of all rows is spread
+    over many partitions; what ends one partition is carried into the next by a table of one row a partition.
+    """
+    part, before, first = (free_name(df.columns, x) for x in ("part_no", "value_before", "is_first"))
+    keys = [F.col(group), *map(F.col, order)]
+    rows = df.repartitionByRange(*keys).withColumn(part, F.spark_partition_id())
+    rows = materialise(rows, "ranges")
+    w = Window.partitionBy(part, group).orderBy(*order)
+    marked = rows.withColumn(before, F.lag(value).over(w)).withColumn(first, F.row_number().over(w) == 1)
+    last = rows.groupBy(part).agg(F.max(F.struct(*keys, F.col(value).alias("last_value"))).alias("last"))
+    ends = last.withColumn("last", F.lag("last").over(Window.orderBy(part)))  # rows by partitions
+    ends = ends.select(part, F.col(f"last.{group}").alias("last_group"), F.col("last.last_value").alias("last_value"), F.col("last").isNotNull().alias("has_last"))
+    joined = marked.join(ends, part, "left")
+    carried = F.col(first) & F.col("has_last") & F.equal_null(F.col("last_group"), F.col(group))
+    same = F.when(carried, F.equal_null(F.col("last_value"), F.col(value))).otherwise(~F.col(first) & F.equal_null(F.col(before), F.col(value)))
+    return joined.where(~same).select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def compare_captures(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:

@@ -146,10 +146,10 @@ def k_redelivered(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy(F.xxhash64(*rows.columns), *rows.columns).agg(F.count("*").alias("n_deliveries")).where("n_deliveries > 1").select("stmt_id", "n_deliveries")
 
 
-@query("SELECT symbol, count(DISTINCT raw_text) AS n_values, array_to_string(list_sort(list(DISTINCT raw_text)), '|') AS printed FROM version_statement WHERE symbol IS NOT NULL AND raw_text <> '' GROUP BY symbol HAVING count(DISTINCT raw_text) > 1")
+@query("""SELECT DISTINCT v.symbol AS symbol, v.raw_text AS raw_text, n_values FROM version_statement v JOIN (SELECT symbol, count(DISTINCT raw_text) AS n_values FROM version_statement
+    WHERE raw_text <> '' GROUP BY symbol) c ON c.symbol = v.symbol WHERE v.raw_text <> '' AND n_values > 1""")
 def k_statement_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    rows = T(spark, d, "version_statement").where("raw_text <> ''")
-    return R.conflicts(rows, "symbol", "raw_text").select("symbol", "n_values", F.array_join("values", "|").alias("printed"))
+    return R.conflicts(T(spark, d, "version_statement").where("raw_text <> ''"), "symbol", "raw_text")
 
 
 @query(f"""SELECT symbol, layer, raw_text, page_path FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY {LAYER_SQL},
@@ -196,11 +196,11 @@ def k_suffix_pairs(spark: SparkSession, d: str) -> DataFrame:
     return R.suffix_pairs(T(spark, d, "api_symbol"), "symbol")
 
 
-@query("""SELECT lower(header_file) AS header, string_agg(DISTINCT symbol, ' ' ORDER BY symbol) AS names, count(DISTINCT symbol) AS n_names
-    FROM api_symbol WHERE header_file IS NOT NULL GROUP BY 1""")
-def k_header_lists(spark: SparkSession, d: str) -> DataFrame:
+@query("""SELECT DISTINCT lower(header_file) AS header, symbol, count(*) OVER (PARTITION BY lower(header_file)) AS n_names FROM
+    (SELECT DISTINCT lower(header_file) AS header_file, symbol FROM api_symbol WHERE header_file IS NOT NULL)""")
+def k_header_names(spark: SparkSession, d: str) -> DataFrame:
     rows = T(spark, d, "api_symbol").where("header_file is not null").select(F.lower("header_file").alias("header"), "symbol").distinct()
-    return rows.groupBy("header").agg(F.array_join(F.array_sort(F.collect_list("symbol")), " ").alias("names"), F.count("*").alias("n_names"))
+    return rows.join(rows.groupBy("header").agg(F.count("*").alias("n_names")), "header")
 
 
 # Constants
@@ -215,10 +215,10 @@ def k_numbers(spark: SparkSession, d: str) -> DataFrame:
     return numbers(spark, d).select("const_id", "line_no", "raw_value", F.col("num").cast("string").alias("num"))
 
 
-@query(f"""SELECT const_name, count(DISTINCT num) AS n_values, array_to_string(list_sort(list(DISTINCT num)), '|') AS nums FROM
-    (SELECT const_name, {NUM_SQL} AS num FROM aux_constant) WHERE num IS NOT NULL AND const_name IS NOT NULL GROUP BY const_name HAVING count(DISTINCT num) > 1""")
+@query(f"""WITH n AS (SELECT DISTINCT const_name, {NUM_SQL} AS num FROM aux_constant WHERE const_name IS NOT NULL)
+    SELECT const_name, CAST(num AS VARCHAR) AS num, count(*) OVER (PARTITION BY const_name) AS n_values FROM n WHERE num IS NOT NULL QUALIFY count(*) OVER (PARTITION BY const_name) > 1""")
 def k_constant_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    return R.conflicts(numbers(spark, d), "const_name", "num").select("const_name", "n_values", F.array_join(F.transform("values", lambda x: x.cast("string")), "|").alias("nums"))
+    return R.conflicts(numbers(spark, d), "const_name", "num").withColumn("num", F.col("num").cast("string"))
 
 
 @query(f"""SELECT const_name, CAST(num AS VARCHAR) AS num, n_libraries FROM (SELECT *, row_number() OVER (PARTITION BY const_name ORDER BY n_libraries DESC, num) AS r FROM

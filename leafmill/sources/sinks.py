@@ -43,9 +43,9 @@ def append_log(df: DataFrame, path: str, line: str) -> None:
 
 
 def name_lists(df: DataFrame, path: str, header: str, name: str, layer: str, left_out: str) -> None:
-    """For each header one line with its sorted names, a layer left out."""
+    """Header and name, a line each, sorted by both over all files; a layer is left out."""
     kept = df.where(F.col(layer).isNull() | (F.lower(F.trim(layer)) != left_out)).select(header, name).distinct()
-    kept.groupBy(header).agg(F.concat_ws(" ", F.array_sort(F.collect_list(name))).alias("names")).select(F.concat_ws("\t", header, "names").alias("value")).write.mode("overwrite").text(path)
+    kept.orderBy(header, name).select(F.concat_ws("\t", header, name).alias("value")).write.mode("overwrite").text(path)
 
 
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
