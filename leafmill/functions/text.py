@@ -114,6 +114,11 @@ def parse_version(raw: Column) -> Column:
     )
 
 
+def version_rank(name: Column, order: list[str]) -> Column:
+    """The place of a version name in an explicit list; names aren't numbers (2.1 and 2.10 differ), those not listed have none."""
+    return F.try_element_at(F.create_map(*(F.lit(x) for pair in ((v, i) for i, v in enumerate(order)) for x in pair)), F.trim(name))
+
+
 def numeric_literal(raw: Column) -> Column:
     """A hexadecimal or decimal literal as DECIMAL(20,0); suffixes and brackets around it go; expressions are null."""
     t = F.regexp_replace(F.trim(raw), r"^\((.*)\)$", "$1")

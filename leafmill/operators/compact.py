@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leafmill.session import drop_path, free_name, shared_folder
+from leafmill.session import drop_path, free_name, scratch_path
 
 #: Rows of the sample that gives the boundaries, at most about that many; more bring no better boundaries.
 SAMPLE_ROWS = 50_000
@@ -170,7 +170,7 @@ def same_records(df: DataFrame, keys: list[str], content: str, target_bytes: int
     """
     size, digest = free_name(df.columns, "content_bytes"), free_name(df.columns, "content_hash")
     sized = df.withColumn(size, F.coalesce(F.octet_length(content), F.lit(0)).cast("long")).withColumn(digest, F.sha2(content, 256))
-    path = f"{shared_folder(df.sparkSession)}/clustered-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, "clustered")
     rows, _ = cluster(sized, [*keys, id_col], size, target_bytes, path)
     own = rows.where(F.col(group).isNotNull()).select(F.col(group).alias("g"), F.col(number).alias("k"), F.col(digest).alias("h"), F.col(id_col).alias("id"))
     a, b = own.toDF("g", "k", "h_a", "id_a"), own.toDF("g", "k", "h_b", "id_b")

@@ -134,3 +134,14 @@ def stack(parts: list[DataFrame]) -> DataFrame:
 def gap_list(wanted: DataFrame, found: DataFrame, key: str, hint: DataFrame, value: str) -> DataFrame:
     """Keys without an answer, with what an auxiliary source says of them."""
     return wanted.select(key).distinct().join(found.select(key).distinct(), key, "left_anti").join(hint.select(key, value), key, "left")
+
+
+def verify_stored(receipts: DataFrame, files: DataFrame) -> DataFrame:
+    """(stored_path, verdict): receipts (stored_path, n_bytes, sha256_hex) held against a manifest (path, n_bytes, sha256_hex).
+
+    missing, other size, other content or same; a receipt without size or digest is only asked for the other.
+    """
+    f = files.select(F.col("path").alias("stored_path"), F.col("n_bytes").alias("size"), F.col("sha256_hex").alias("digest"))
+    both = receipts.where("stored_path is not null").join(f, "stored_path", "left")
+    verdict = F.when(F.col("digest").isNull(), "missing").when(F.col("n_bytes") != F.col("size"), "other size").when(F.lower("sha256_hex") != F.col("digest"), "other content").otherwise("same")
+    return both.select("stored_path", verdict.alias("verdict"))

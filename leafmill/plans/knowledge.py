@@ -181,6 +181,23 @@ def k_late_rows(spark: SparkSession, d: str) -> DataFrame:
     return T(spark, d, "version_statement").groupBy(F.coalesce("layer", F.lit("?")).alias("layer")).agg(F.count("*").alias("n_rows"), F.count_if(F.expr("ingested_at - printed_at > INTERVAL 7 DAY")).alias("n_late"), F.max(lag).alias("most_seconds"))
 
 
+@query("""SELECT v.symbol AS symbol, s.header_file AS header_file, count(*) AS n_statements FROM version_statement v JOIN api_symbol s ON s.symbol = v.symbol
+    WHERE s.kind = 'function' AND EXISTS (SELECT 1 FROM header_review r WHERE lower(r.header_file) = lower(s.header_file)) GROUP BY v.symbol, s.header_file""")
+def k_reviewed_functions(spark: SparkSession, d: str) -> DataFrame:
+    """Functions whose header some review names (a semi join), with their statements counted before the join."""
+    n = T(spark, d, "version_statement").groupBy("symbol").agg(F.count("*").alias("n_statements"))
+    s = T(spark, d, "api_symbol").where("kind = 'function'").select("symbol", "header_file")
+    reviewed = T(spark, d, "header_review").select(F.lower("header_file").alias("h"))
+    return s.join(reviewed, F.lower("header_file") == F.col("h"), "left_semi").join(n, "symbol")
+
+
+@query("""SELECT raw_text, coalesce(layer, '?') AS layer, count(DISTINCT symbol) AS n_symbols FROM version_statement WHERE raw_text <> '' GROUP BY 1, 2""")
+def k_version_scopes(spark: SparkSession, d: str) -> DataFrame:
+    """How many symbols each printed range holds for, by layer."""
+    rows = T(spark, d, "version_statement").where("raw_text <> ''").groupBy("raw_text", F.coalesce("layer", F.lit("?")).alias("layer"))
+    return rows.agg(F.count_distinct("symbol").alias("n_symbols"))
+
+
 # Symbols
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from leafmill.operators import compact
-from leafmill.session import shared_folder, table
+from leafmill.session import scratch_path, table
 
 KEYS = {"keys": ["page_id", "piece_no"], "content": "payload", "id_col": "file_id", "group": "page_id", "number": "piece_no"}
 
@@ -20,9 +20,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_compacted(spark: SparkSession, d: str) -> DataFrame:
-    import uuid
-
-    path = f"{shared_folder(spark)}/page-files-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "page-files")
     compact.compact(table(spark, d, "page_files"), path, target_bytes=target(spark, d), **KEYS)
     return spark.read.parquet(path).select("file_id", "page_id", "piece_no", "payload")
 

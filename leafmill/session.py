@@ -48,13 +48,28 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{own}"
 
 
+_made: list[str] = []
+
+
+def scratch_path(spark: SparkSession, what: str) -> str:
+    """A new name in the shared folder, remembered for :func:`drop_intermediates`."""
+    _made.append(f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this session; frames that read them are done with then."""
+    while _made:
+        drop_path(spark, _made.pop())
+
+
 def materialise(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage in a way that survives the loss of executors, and lets later steps read only
     the columns they need.
     """
-    path = f"{shared_folder(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, what)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -99,3 +99,8 @@ def test_front_matter(spark):
 def test_zip_header(spark):
     assert one(spark, '[["urlkey","digest"],["k","d"]]', X.zip_header) == [{"urlkey": "k", "digest": "d"}]
     assert one(spark, "[]", X.zip_header) == []
+
+
+def test_version_rank(spark):
+    order = ["1.0", "1.01", "2.0", "2.1", "2.10", "2.11"]
+    assert [one(spark, v, lambda c: X.version_rank(c, order)) for v in ("2.1", " 2.10", "9.9", None)] == [3, 4, None, None]

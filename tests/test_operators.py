@@ -102,3 +102,9 @@ def test_compact_keeps_each_record_once(spark, tmp_path):
     assert got.rows_written == 0 and spark.read.schema(FILES).parquet(out).count() == 0
     nameless = stored(spark).withColumn("file_id", F.lit(None).cast("long"))
     assert C.compact(nameless, out, target_bytes=4, **ARGS).rows_written == 11
+
+
+def test_verify_stored(spark):
+    receipts = spark.createDataFrame([("a", 1, "AA"), ("b", 2, "bb"), ("c", None, None), ("d", 4, "dd"), (None, 1, "x")], "stored_path string, n_bytes long, sha256_hex string")
+    files = spark.createDataFrame([("a", 1, "aa"), ("b", 3, "bb"), ("c", 9, "cc")], "path string, n_bytes long, sha256_hex string")
+    assert rows_of(R.verify_stored(receipts, files)) == [("a", "same"), ("b", "other size"), ("c", "same"), ("d", "missing")]
