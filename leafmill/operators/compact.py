@@ -85,20 +85,21 @@ def checksum(df: DataFrame) -> list[Column]:
     return [F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(20,0)")), F.lit(0)).alias("h")]
 
 
-def with_survivors(df: DataFrame, id_col: str, group: str, number: str, content: str) -> DataFrame:
-    """``df`` without stored copies: of each record its row of least id stays.
+def with_survivors(df: DataFrame, id_col: str, group: str, number: str, content: str, at: str) -> DataFrame:
+    """``df`` without stored copies: of each record the row written first (by ``at``, then by id) stays, since later ones are retries.
 
     Rows of equal ``group`` and ``number`` are one record. A row without number is a copy if a row of its group
-    with equal content has a number or a smaller id. Rows without a group, or without number and content, are
-    records of their own.
+    with equal content has a number or was written before. Rows without a group, or without number and content, or without an id
+    are records of their own.
     """
     hash_ = free_name(df.columns, "content_hash")
-    narrow = df.select(id_col, group, number, F.sha2(content, 256).alias(hash_))
+    narrow = df.select(id_col, group, number, at, F.sha2(content, 256).alias(hash_))
     nameless = df.where(F.col(id_col).isNull())  # a row without id can be named by no other: it stays
+    first_id = F.min(F.struct(F.col(at).isNull(), F.col(at), F.col(id_col)))[id_col].alias(id_col)
     numbered = narrow.where(F.col(id_col).isNotNull() & F.col(group).isNotNull() & F.col(number).isNotNull())
-    kept = numbered.groupBy(group, number).agg(F.min(id_col).alias(id_col)).select(id_col)
+    kept = numbered.groupBy(group, number).agg(first_id).select(id_col)
     loose = narrow.where(F.col(id_col).isNotNull() & F.col(group).isNotNull() & F.col(number).isNull() & F.col(hash_).isNotNull())
-    first = loose.groupBy(group, hash_).agg(F.min(id_col).alias(id_col))
+    first = loose.groupBy(group, hash_).agg(first_id)
     first = first.join(numbered.select(group, hash_), [group, hash_], "left_anti").select(id_col)
     alone = narrow.where(F.col(group).isNull() | F.col(number).isNull() & F.col(hash_).isNull()).select(id_col)
     return df.join(kept.unionByName(first).unionByName(alone).distinct(), id_col, "left_semi").unionByName(nameless)
@@ -143,7 +144,7 @@ def swap(spark: SparkSession, new: str, old: str) -> None:
         fs.delete(aside, True)
 
 
-def compact(df: DataFrame, path: str, keys: list[str], content: str, target_bytes: int, id_col: str, group: str, number: str) -> Report:
+def compact(df: DataFrame, path: str, keys: list[str], content: str, target_bytes: int, id_col: str, group: str, number: str, at: str) -> Report:
     """Compact the records of ``df`` into ``path``, each record once, in files of about ``target_bytes``.
 
     Sizes are UTF-8 bytes of the content, counted, since stored sizes may be missing. An empty table gives an
@@ -152,7 +153,7 @@ def compact(df: DataFrame, path: str, keys: list[str], content: str, target_byte
     size = free_name(df.columns, "content_bytes")
     sized = df.withColumn(size, F.coalesce(F.octet_length(content), F.lit(0)).cast("long"))
     total = sized.agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
-    once = with_survivors(sized, id_col, group, number, content)
+    once = with_survivors(sized, id_col, group, number, content, at)
     new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
     written, ranges = cluster(once, [*keys, id_col], size, target_bytes, new)
     n = written.count()

@@ -21,7 +21,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_compacted(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "page-files")
-    compact.compact(table(spark, d, "page_files"), path, target_bytes=target(spark, d), **KEYS)
+    compact.compact(table(spark, d, "page_files"), path, target_bytes=target(spark, d), at="written_at", **KEYS)
     return spark.read.parquet(path).select("file_id", "page_id", "piece_no", "payload")
 
 
@@ -32,9 +32,10 @@ SQL = {
         ON a.page_id = b.page_id AND a.file_id < b.file_id
         AND (a.piece_no = b.piece_no OR (a.piece_no IS NULL OR b.piece_no IS NULL) AND a.payload = b.payload)""",
     "p3_compacted": """
-        SELECT file_id, page_id, piece_no, payload FROM page_files f
+        WITH f AS (SELECT *, row_number() OVER (ORDER BY written_at NULLS LAST, file_id) AS r FROM page_files)
+        SELECT file_id, page_id, piece_no, payload FROM f
         WHERE page_id IS NULL OR piece_no IS NULL AND payload IS NULL
-        OR piece_no IS NOT NULL AND file_id = (SELECT min(file_id) FROM page_files g WHERE g.page_id = f.page_id AND g.piece_no = f.piece_no)
-        OR piece_no IS NULL AND NOT EXISTS (SELECT 1 FROM page_files g WHERE g.page_id = f.page_id AND g.payload = f.payload
-            AND (g.piece_no IS NOT NULL OR g.file_id < f.file_id))""",
+        OR piece_no IS NOT NULL AND r = (SELECT min(r) FROM f g WHERE g.page_id = f.page_id AND g.piece_no = f.piece_no)
+        OR piece_no IS NULL AND NOT EXISTS (SELECT 1 FROM f g WHERE g.page_id = f.page_id AND g.payload = f.payload
+            AND (g.piece_no IS NOT NULL OR g.r < f.r))""",
 }

@@ -10,6 +10,7 @@ from leafmill.operators import compact as C
 from leafmill.operators import resolve as R
 
 FILES = "file_id long, page_id long, piece_no int, payload string, range_no int, content_bytes string"
+AT = {"at": "range_no"}
 ARGS = {"keys": ["page_id", "piece_no"], "content": "payload", "id_col": "file_id", "group": "page_id", "number": "piece_no"}
 
 
@@ -82,7 +83,7 @@ def test_compact(spark, tmp_path):
     src, rng = str(tmp_path / "small"), random.Random(1)
     rows = [(i, i // 40 if i % 3 else -7, i % 40 if i % 3 else i, "x" * rng.randint(0, 300), None, None) for i in range(1500)]
     spark.createDataFrame(rows, FILES).repartition(60).write.parquet(src)
-    got = C.compact(spark.read.parquet(src), src, target_bytes=40_000, **ARGS)
+    got = C.compact(spark.read.parquet(src), src, target_bytes=40_000, **ARGS, **AT)
     assert (got.rows_read, got.rows_written, got.copies_dropped) == (1500, 1500, 0)
     files = [f for f in os.listdir(src) if f.startswith("part")]
     assert len(files) == got.ranges == -(-got.bytes_read // 40_000)
@@ -95,13 +96,16 @@ def test_compact(spark, tmp_path):
 
 def test_compact_keeps_each_record_once(spark, tmp_path):
     out = str(tmp_path / "out")
-    got = C.compact(stored(spark), out, target_bytes=4, **ARGS)
+    got = C.compact(stored(spark), out, target_bytes=4, **ARGS, **AT)
     assert (got.rows_read, got.rows_written) == (11, 8)
     assert sorted(r["file_id"] for r in spark.read.parquet(out).collect()) == [1, 3, 5, 7, 8, 9, 10, 11]
-    got = C.compact(stored(spark).where("false"), out, target_bytes=4, **ARGS)
+    got = C.compact(stored(spark).where("false"), out, target_bytes=4, **ARGS, **AT)
     assert got.rows_written == 0 and spark.read.schema(FILES).parquet(out).count() == 0
+    later = stored(spark).withColumn("range_no", F.when(F.col("file_id") == 1, 9).otherwise(F.col("file_id").cast("int")))
+    assert C.compact(later, out, target_bytes=4, **ARGS, **AT).rows_written == 8
+    assert sorted(r["file_id"] for r in spark.read.parquet(out).collect()) == [2, 3, 5, 7, 8, 9, 10, 11]
     nameless = stored(spark).withColumn("file_id", F.lit(None).cast("long"))
-    assert C.compact(nameless, out, target_bytes=4, **ARGS).rows_written == 11
+    assert C.compact(nameless, out, target_bytes=4, **ARGS, **AT).rows_written == 11
 
 
 def test_verify_stored(spark):

@@ -47,3 +47,11 @@ def test_entry_point():
 
     assert set(e.oracle_sql()) <= set(e.queries())
     assert {"p3_found", "k_summary"} <= set(e.queries())
+
+
+def test_compacted_pieces_are_the_bodies(spark, duck):
+    pieces = {}
+    for r in plans.all_queries()["p3_compacted"](spark, DATA).where("piece_no is not null").collect():
+        pieces.setdefault(r["page_id"], {})[r["piece_no"]] = r["payload"]
+    bodies = dict(duck.execute("SELECT page_id, body FROM wrap_oss_page").fetchall())
+    assert pieces and all("".join(p for _, p in sorted(own.items())) == bodies[i] for i, own in pieces.items())
