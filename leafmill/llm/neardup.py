@@ -29,6 +29,8 @@ ROWS = 2
 SIGMAS = 4.5
 #: Members of a key walked as one trie; larger groups are walked in blocks of pairs of such parts.
 PART = 1024
+#: Pairs of members, counted as group sizes squared, that are walked at once.
+FRONTIER = 1 << 20
 _OTHER_SPACES = re.compile("[\x0b\x1c-\x1f]")
 _WORDS = re.compile("[^ \t\r\n\f]+").findall
 
@@ -228,26 +230,28 @@ def candidates(reps: DataFrame, budget: int, threshold: float) -> DataFrame:
     rows = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
 
-    def joined(t: pa.Table) -> pa.RecordBatch | None:
-        key, low, high, side = (t.column(c).to_numpy() for c in ("key", "low", "high", "side"))
+    def joined(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        key, low, high, side, n, ids = (t.column(c).to_numpy() for c in ("key", "low", "high", "side", "n", "id"))
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
         group = np.cumsum(new)
-        many = np.bincount(group)[group] > 1
-        at = np.flatnonzero(many)
+        size = np.bincount(group)[group]
+        at = np.flatnonzero(size > 1)
         if not len(at):
-            return None
+            return
         prints = np.stack([t.column(c).to_numpy()[at].view(np.uint64) for c in ("f0", "f1")], axis=1)
-        i, j = trie_self_join(group[at], prints, side[at] + 2 * (low[at] == high[at]), budget)
-        n = t.column("n").to_numpy()
-        i, j = at[i], at[j]
-        ids = t.column("id").to_numpy()
-        keep = (np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j])) & (ids[i] != ids[j])
-        x, y = ids[i[keep]], ids[j[keep]]
-        if not len(x):
-            return None
-        pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema.names)
+        # As many tries at once as have a bounded number of pairs together, so that the walk's frontier stays small.
+        work = np.cumsum(size[at].astype(np.int64)) // FRONTIER
+        work = np.maximum.accumulate(np.where(new[at], work, 0))
+        for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(work)) + 1):
+            own = at[part]
+            i, j = trie_self_join(group[own], prints[part], side[own] + 2 * (low[own] == high[own]), budget)
+            i, j = own[i], own[j]
+            keep = (np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j])) & (ids[i] != ids[j])
+            x, y = ids[i[keep]], ids[j[keep]]
+            if len(x):
+                pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -260,16 +264,14 @@ def candidates(reps: DataFrame, budget: int, threshold: float) -> DataFrame:
                 last &= c == c[-1]
             cut = batch.num_rows - int(np.argmin(last[::-1])) if not last.all() else 0
             if cut:
-                if (out := joined(pa.Table.from_batches([*held, batch.slice(0, cut)]))) is not None:
-                    yield out
+                yield from joined(pa.Table.from_batches([*held, batch.slice(0, cut)]))
                 held = []
             elif held and any(held[-1].column(c)[-1].as_py() != batch.column(c)[0].as_py() for c in ("key", "low", "high")):
-                if (out := joined(pa.Table.from_batches(held))) is not None:
-                    yield out
+                yield from joined(pa.Table.from_batches(held))
                 held = []
             held.append(batch.slice(cut))
-        if held and (out := joined(pa.Table.from_batches(held))) is not None:
-            yield out
+        if held:
+            yield from joined(pa.Table.from_batches(held))
 
     return rows.mapInArrow(run, schema).distinct()
 
@@ -305,10 +307,11 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float
     """(members, links) of the texts with a similarity of ``threshold`` or more.
 
     members (id, class_id): every text with at least ``width`` words and the least id of the texts with the same set
-    of word runs. links (a, b, jaccard): pairs of class ids, a < b. Null, empty and shorter texts are in neither.
+    of word runs. links (a, b, jaccard): pairs of class ids, a < b. Null, empty and shorter texts, and rows without an id, are in neither.
     Ids must be integers; an id that comes twice with one text counts once.
     """
     bands, budget = bands_for(threshold), budget_for(threshold)
+    df = df.where(F.col(id_col).isNotNull())
     rows = materialise(sketches(df, id_col, text_col, width, bands), "sketches")
     classes = rows.groupBy("set_a", "set_b").agg(F.min("id").alias("class_id"))
     members = materialise(rows.select("id", "set_a", "set_b").join(classes, ["set_a", "set_b"]).select("id", "class_id").distinct(), "members")
