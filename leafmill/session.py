@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,8 +26,28 @@ def local_session(app: str = "leafmill", cpus: int = 8, memory: str = "8g") -> S
     )
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a Spark context, so that they needn't have it on their path."""
+    sc = spark.sparkContext
+    if getattr(sc, "_leafmill_shipped", False):
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="leafmill-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "leafmill.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for at, _, names in os.walk(home):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(at, name)
+                    z.write(full, os.path.join("leafmill", os.path.relpath(full, home)))
+    sc.addPyFile(path)
+    sc._leafmill_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet test tables; the scan stays open to pushdown and pruning."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
