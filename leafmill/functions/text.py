@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -188,6 +190,12 @@ def month_day_year(c: Column) -> Column:
     return F.to_date(F.try_to_timestamp(c, F.lit("MM/dd/yyyy")))
 
 
+def mentions(columns: list[Column], words: list[str]) -> Column:
+    """Whether any of the columns (a page's header fields, say, not its body) holds any of the words, in whatever case."""
+    text = F.lower(F.concat_ws("\n", *columns))
+    return reduce(lambda a, b: a | b, (F.contains(text, F.lit(w.lower())) for w in words), F.lit(False))
+
+
 def strip_snippet(html: Column, pattern: str) -> Column:
     """Without an embedded snippet, given by its pattern."""
     return F.regexp_replace(html, pattern, "")

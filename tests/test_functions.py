@@ -104,3 +104,10 @@ def test_zip_header(spark):
 def test_version_rank(spark):
     order = ["1.0", "1.01", "2.0", "2.1", "2.10", "2.11"]
     assert [one(spark, v, lambda c: X.version_rank(c, order)) for v in ("2.1", " 2.10", "9.9", None)] == [3, 4, None, None]
+
+
+def test_mentions(spark):
+    df = spark.createDataFrame([("A Pocket Kit", None), ("other", "POCKET kit"), (None, "x")], "title string, product string")
+    got = df.select(X.mentions([F.col("title"), F.col("product")], ["pocket kit"]).alias("r")).collect()
+    assert [r["r"] for r in got] == [True, True, False]
+    assert not df.select(X.mentions([F.col("title")], []).alias("r")).first()["r"]
