@@ -233,6 +233,9 @@ def lookalike_pairs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     texts = materialise(_digests(df, id_col, text_col), "looks")
     several = texts.groupBy("look").agg(F.min("own").alias("least"), F.max("own").alias("most")).where("least <> most").select("look")
     kept = texts.join(several, "look", "left_semi")
-    a = kept.select("look", F.col("id").alias("id_a"), F.col("own").alias("own_a"))
-    b = kept.select("look", F.col("id").alias("id_b"), F.col("own").alias("own_b"))
-    return a.join(b, "look").where("own_a <> own_b and id_a < id_b").select("id_a", "id_b").distinct()
+    # Pairs of different texts first, then their rows: copies of one text never meet each other.
+    distinct = kept.select("look", "own").distinct()
+    pairs = distinct.withColumnRenamed("own", "own_a").join(distinct.withColumnRenamed("own", "own_b"), "look").where("own_a < own_b").select("own_a", "own_b")
+    rows = kept.select("own", "id").distinct()
+    both = pairs.join(rows.toDF("own_a", "x"), "own_a").join(rows.toDF("own_b", "y"), "own_b").where("x <> y")
+    return both.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
