@@ -37,6 +37,14 @@ def wrap_page(title: Column, body: Column, front: Column) -> Column:
     return F.concat(F.lit(FRAME_HEAD), head, F.lit(FRAME_BODY), front, F.lit("<h1>"), head, F.lit("</h1>\n<pre>\n"), strip_end(escape_html(body)), F.lit(FRAME_END))
 
 
+_WESTERN = {chr(b): bytes((b,)).decode("cp1252") for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+
+
+def decode_western(content: Column) -> Column:
+    """Bytes in Windows-1252 to text; the five undefined bytes become controls. (``decode`` knows only a few charsets.)"""
+    return F.translate(F.decode(content, "ISO-8859-1"), "".join(_WESTERN), "".join(_WESTERN.values()))
+
+
 def article_of(html: Column) -> Column:
     """The page from its first ``<h1>``; empty if it has none."""
     return F.regexp_extract(html, r"(?is)(<h1\b.*)", 1)

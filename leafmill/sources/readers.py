@@ -12,8 +12,9 @@ REVIEW_VALUES = "const_name string, resolved_value string, category string, verd
 
 
 def whole_files(spark: SparkSession, folder: str, glob: str = "*.{htm,HTM,html,HTML}") -> DataFrame:
-    """(path, value): one row a file, whatever its depth; the glob keeps media and sources out."""
-    return spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob).select(F.col("_metadata.file_path").alias("path"), "value")
+    """(path, value): one row a file, whatever its depth; the glob keeps media and sources out. UTF-8. Spark's scans leave files of no bytes out."""
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(folder)
+    return raw.select("path", F.col("content").cast("string").alias("value"))
 
 
 def html_pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,10 +29,10 @@ def markdown_pages(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select("path", parts["front"].alias("front"), parts["lists"].alias("lists"), parts["body"].alias("body"))
 
 
-def articles(spark: SparkSession, folder: str, charset: str = "windows-1252", glob: str = "*.{txt,TXT}") -> DataFrame:
-    """Plain-text articles in an old charset: decoded, line ends made one, lower-case names, first line as title, wrapped in a pre element."""
+def articles(spark: SparkSession, folder: str, glob: str = "*.{txt,TXT}") -> DataFrame:
+    """Plain-text articles in Windows-1252: decoded, line ends made one, lower-case names, first line as title, wrapped in a pre element."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(folder)
-    body = F.regexp_replace(F.decode("content", charset), r"\r\n?", "\n")
+    body = F.regexp_replace(X.decode_western(F.col("content")), r"\r\n?", "\n")
     name = F.lower(F.element_at(F.split("path", "/"), -1))
     title = F.trim(F.regexp_extract(body, r"\A\s*([^\n]*)", 1))
     return raw.select("path", name.alias("file_name"), title.alias("title"), body.alias("body"), F.concat(F.lit('<pre class="kb">'), X.escape_html(body), F.lit("</pre>")).alias("html"))

@@ -111,3 +111,8 @@ def test_mentions(spark):
     got = df.select(X.mentions([F.col("title"), F.col("product")], ["pocket kit"]).alias("r")).collect()
     assert [r["r"] for r in got] == [True, True, False]
     assert not df.select(X.mentions([F.col("title")], []).alias("r")).first()["r"]
+
+
+def test_western_bytes(spark):
+    data = bytes(b for b in range(256) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))
+    assert one(spark, bytearray(data), X.decode_western, "binary") == data.decode("cp1252")

@@ -14,7 +14,7 @@ def put(folder, files):
 
 
 def test_pages_and_rejects(spark, tmp_path):
-    d = put(tmp_path, {"set/A.HTM": "<title>A</TITLE><h1>A</h1>", "set/sub/b.htm": "<title>Topic Not Found</title>x", "c.html": "", "x.gif": "no", "notopic1.htm": "<title>n</title>", "w.htm": "<title>w</title>has not been archived"})
+    d = put(tmp_path, {"set/A.HTM": "<title>A</TITLE><h1>A</h1>", "set/sub/b.htm": "<title>Topic Not Found</title>x", "c.html": " \n", "none.html": "", "x.gif": "no", "notopic1.htm": "<title>n</title>", "w.htm": "<title>w</title>has not been archived"})
     pages = readers.html_pages(spark, d)
     assert pages.count() == 5
     kept, refused = readers.good_pages(pages, "path", "page_title", "value", ("has not been archived",))
