@@ -81,9 +81,8 @@ def k_layers(spark: SparkSession, d: str) -> DataFrame:
     return pages.groupBy(F.coalesce("layer", F.lit("?")).alias("layer")).agg(F.count("*").alias("n_pages"), F.count_distinct("project").alias("n_projects"), F.count_if(F.col("body").isNull() | (F.trim("body") == "")).alias("n_empty"))
 
 
-@query("""SELECT page_id, CASE WHEN body IS NULL OR trim(body) = '' THEN 'empty' WHEN title = 'Topic Not Found' THEN 'placeholder'
-    WHEN contains(body, 'Back to contents') THEN 'interstitial' END AS reason FROM wrap_oss_page
-    WHERE body IS NULL OR trim(body) = '' OR title = 'Topic Not Found' OR contains(body, 'Back to contents')""")
+@query(rf"""SELECT page_id, reason FROM (SELECT page_id, CASE WHEN body IS NULL OR regexp_replace(body, '{LAST_SPACE}', '') = '' THEN 'empty' WHEN title = 'Topic Not Found' THEN 'placeholder'
+    WHEN contains(body, 'Back to contents') THEN 'interstitial' END AS reason FROM wrap_oss_page) WHERE reason IS NOT NULL""")
 def k_rejects(spark: SparkSession, d: str) -> DataFrame:
     from leafmill.sources.readers import good_pages
 

@@ -49,7 +49,7 @@ def path_columns(path: Column) -> dict[str, Column]:
 
 def good_pages(pages: DataFrame, path: str, title: str, value: str, refused: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """(kept, rejected with a reason): empty pages, placeholders by path or title (never by body) and interstitials by their text."""
-    reason = F.when(F.length(F.trim(F.coalesce(value, F.lit("")))) == 0, "empty").when(F.col(path).rlike(r"(?i)/notopic[^/]*$") | (F.coalesce(title, F.lit("")) == "Topic Not Found"), "placeholder")
+    reason = F.when(X.strip_end(F.coalesce(value, F.lit(""))) == "", "empty").when(F.col(path).rlike(r"(?i)/notopic[^/]*$") | (F.coalesce(title, F.lit("")) == "Topic Not Found"), "placeholder")
     for text in refused:
         reason = reason.when(F.contains(value, F.lit(text)), "interstitial")
     marked = pages.withColumn("reason", reason)
