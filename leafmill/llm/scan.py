@@ -32,6 +32,8 @@ BY_FIRST: dict[str, list[tuple[str, str]]] = {}
 for _seen, _meant in MISREAD:
     BY_FIRST.setdefault(_seen[0], []).append((_seen, _meant))
 CODE_COST, LETTER_COST, HYPHEN_COST, SPACE_COST, SPECK_COST, UNKNOWN_COST = 3.0, 4.0, 0.5, 5.0, 3.5, 16.0
+#: A lost space, and what a letter of an unknown word costs at least where spaces are looked for.
+LOST_COST, UNKNOWN_LETTER_COST = 3.0, 2.5
 #: By how much a decoded stretch must beat what stands there.
 GAIN = 1.0
 HYPHENS = "-\xad¬"
@@ -170,8 +172,11 @@ class Edits:
         return any(vars(self).values())
 
 
-def words_at(s: str, i: int, lex: Lexicon) -> list[tuple[int, str, float, Edits]]:
-    """All words that the stream can mean from position i on: (end, word, cost, edits); at most two edits besides hyphens."""
+def words_at(s: str, i: int, lex: Lexicon, apart: bool = False) -> list[tuple[int, str, float, Edits]]:
+    """All words that the stream can mean from position i on: (end, word, cost, edits); at most two edits besides hyphens.
+
+    With ``apart`` a common word may also end before a small letter, where a space was lost.
+    """
     out = []
     todo = [(i, "", 0.0, (0, 0, 0, 0, 0))]
     n = len(s)
@@ -181,6 +186,8 @@ def words_at(s: str, i: int, lex: Lexicon) -> list[tuple[int, str, float, Edits]
             own = lex.cost(made)
             if own is not None:
                 out.append((j, made, own + cost, Edits(*e)))
+        elif apart and len(made) > 1 and s[j].islower() and s[j - 1].isalnum() and lex.common(made):
+            out.append((j, made, lex.cost(made) + cost + LOST_COST, Edits(*e[:3], e[3] + 1, e[4])))
         if j >= n or len(made) > 40:
             continue
         ch = s[j].lower()
@@ -201,14 +208,18 @@ def words_at(s: str, i: int, lex: Lexicon) -> list[tuple[int, str, float, Edits]
     return out
 
 
-def decode(s: str, lex: Lexicon) -> tuple[str, Edits, float]:
-    """The cheapest reading of a stream, its edits, and by how much it beats the stream as it stands."""
+def decode(s: str, lex: Lexicon, apart: bool = False) -> tuple[str, Edits, float]:
+    """The cheapest reading of a stream, its edits, and by how much it beats the stream as it stands.
+
+    With ``apart`` words may have lost the space between them.
+    """
     n = len(s)
+    stands = lambda w: lex.cost(w.lower()) or max(UNKNOWN_COST, UNKNOWN_LETTER_COST * len(w) * apart)
     best: list[tuple[float, int, str, Edits] | None] = [None] * (n + 1)
     best[0] = (0.0, -1, "", Edits())
     plain = 0.0
     for m in re.finditer(r"[^\W\d_]+", s):
-        plain += lex.cost(m[0].lower()) or UNKNOWN_COST
+        plain += stands(m[0])
     for i in range(n):
         if best[i] is None:
             continue
@@ -222,21 +233,22 @@ def decode(s: str, lex: Lexicon) -> tuple[str, Edits, float]:
             reach(i + 1, here, s[i], Edits())
             if i and (m := _SPECK_AT.match(s, i)):
                 reach(m.end(), here + 0.5, " ", Edits(specks=1))
-        if (s[i].isalnum() or s[i] in "(|!") and (i == 0 or not s[i - 1].isalnum() or s[i - 1] == "\n"):
-            for j, word, cost, e in words_at(s, i, lex):
+        lost = apart and i > 0 and s[i - 1].isalnum() and best[i][2].endswith(" ")
+        if (s[i].isalnum() or s[i] in "(|!") and (i == 0 or not s[i - 1].isalnum() or s[i - 1] == "\n" or lost):
+            for j, word, cost, e in words_at(s, i, lex, apart):
                 text = s[i:j]
-                if e and not (e.misread or e.codes or e.spaces or e.specks):
-                    text = re.sub(r"[-\xad¬]\n", "", text)
+                if e and not (e.misread or e.codes):
+                    text = "".join(filter(str.isalpha, text))
                 elif e and len(text) == len(word):
                     text = "".join(o if o.lower() == w else w.upper() if o.isupper() or text.isupper() else w for k, (o, w) in enumerate(zip(text, word)))
                 elif e:
                     text = word.upper() if text.isupper() and len(text) > 1 else word.capitalize() if text[0].isupper() else word
-                reach(j, here + cost, text, e)
+                reach(j, here + cost, text + " " * (j < n and s[j].isalpha() and s[j - 1].isalnum()), e)
         if s[i].isalpha():
             j = i + 1
             while j < n and s[j].isalpha():
                 j += 1
-            reach(j, here + (lex.cost(s[i:j].lower()) or UNKNOWN_COST), s[i:j], Edits())
+            reach(j, here + stands(s[i:j]), s[i:j], Edits())
     parts, edits, at = [], Edits(), n
     while at > 0:
         _, before, text, e = best[at]
@@ -415,15 +427,9 @@ def examine(text: str, title: str | None, lex: Lexicon, repair: bool = True) ->
     edits = Edits()
     if spans:
         spans.sort()
-        out, at, k = [], 0, 0
-        while k < len(spans):
-            a, b = spans[k]
-            a2, b2 = widened(stream, a, b, at)
-            while k + 1 < len(spans) and spans[k + 1][0] < b2:  # stretches that touch are decoded as one
-                k += 1
-                b = max(b, spans[k][1])
-                b2 = widened(stream, a, b, at)[1]
-            k += 1
+        out, at = [], 0
+        for a, a2, b2 in stretches(stream, spans):
+            a2 = max(a2, at)
             text_, e, gain = decode(stream[a2:b2], lex)
             if e and gain > GAIN:
                 edits.add(e)
@@ -436,18 +442,46 @@ def examine(text: str, title: str | None, lex: Lexicon, repair: bool = True) ->
         stream = "".join(out) + stream[at:]
     found = Found(edits, len(gone), breaks, None)
     if repair and found.noisy:
-        found.repaired = paragraphs(stream.split("\n"))
+        found.repaired = paragraphs(respaced(stream, lex).split("\n"))
     return found
 
 
-def widened(s: str, a: int, b: int, floor: int) -> tuple[int, int]:
+def respaced(stream: str, lex: Lexicon) -> str:
+    """A noisy text with the spaces given back or taken out that words not in usual use lost or gained."""
+    usual = lambda w: w.isupper() and len(w) > 1 or _CAMEL.search(w) or lex.common(w.lower())
+    spans = [m.span() for m in _WORD.finditer(stream) if not usual(m[0])]
+    out, at = [], 0
+    for _, a, b in stretches(stream, spans):
+        a = max(a, at)
+        text, e, gain = decode(stream[a:b], lex, True)
+        if e.spaces and gain > GAIN:
+            out += (stream[at:a], text)
+            at = b
+    return "".join(out) + stream[at:]
+
+
+def stretches(s: str, spans: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+    """(start of the first span, start, end) of the widened spans; those that touch are one."""
+    k = 0
+    while k < len(spans):
+        a, b = spans[k]
+        x, y = widened(s, a, b)
+        while k + 1 < len(spans) and spans[k + 1][0] < y:
+            k += 1
+            b = max(b, spans[k][1])
+            y = widened(s, a, b)[1]
+        k += 1
+        yield a, x, y
+
+
+def widened(s: str, a: int, b: int) -> tuple[int, int]:
     """A span with the word before and the word after it, on the same lines."""
     x = a
-    while x > floor and s[x - 1] not in " \n":
+    while x > 0 and s[x - 1] not in " \n":
         x -= 1
-    if x > floor and s[x - 1] == " " and a - x < 30:
+    if x > 0 and s[x - 1] == " " and a - x < 30:
         x -= 1
-        while x > floor and s[x - 1] not in " \n":
+        while x > 0 and s[x - 1] not in " \n":
             x -= 1
     y = b
     while y < len(s) and s[y] not in " \n":

@@ -61,6 +61,15 @@ def test_misread_characters_splits_merges_and_specks(lex):
     assert sum(a == b for a, b in zip(got, want)) >= 0.95 * len(want)
 
 
+def test_lost_spaces_and_gained_ones_away_from_misread_characters(lex):
+    text = clean(8)
+    noisy = text.replace("calibrates every", "calibratesevery").replace("before the", "beforethe").replace("keyboard", "key board")
+    noisy = noisy.replace("timer", "tirner").replace("session", "5ession").replace("column", "co1umn").replace("message", "messa9e")
+    found = S.examine(noisy, None, lex)
+    assert found.noisy and " ".join(found.repaired).split() == text.split()
+    assert S.decode("theserlal", S.Lexicon({"the": 90, "serial": 40}, 100), True)[0] == "the serial"
+
+
 @pytest.mark.parametrize("block", ["- {} -\nA GUIDE TO TIMERS", "Page {}\nA Guide to Timers", "A Guide to Timers    {}", "{} | A Guide to Timers", "[{}]\n\f", "{}"])
 def test_running_heads(lex, block):
     text = clean(9)
