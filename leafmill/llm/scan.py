@@ -36,6 +36,8 @@ CODE_COST, LETTER_COST, HYPHEN_COST, SPACE_COST, SPECK_COST, UNKNOWN_COST = 3.0,
 LOST_COST, UNKNOWN_LETTER_COST = 3.0, 2.5
 #: By how much a decoded stretch must beat what stands there.
 GAIN = 1.0
+#: And by how much for its edits alone to make the page a noisy one.
+SURE = 2.0
 HYPHENS = "-\xad¬"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -388,11 +390,12 @@ class Found:
     n_furniture: int
     n_breaks: int
     repaired: list[str] | None
+    gain: float = 0.0  # the most that a stretch with a hyphen, misread character or speck gained
 
     @property
     def noisy(self) -> bool:
         e = self.edits
-        return bool(self.n_furniture or self.n_breaks or e.codes + e.misread >= 2 or e.codes and e.specks)
+        return bool(self.n_furniture or self.n_breaks or self.gain > SURE or e.codes + e.misread >= 2 or e.codes and e.specks)
 
 
 def examine(text: str, title: str | None, lex: Lexicon, repair: bool = True) -> Found:
@@ -422,9 +425,8 @@ def examine(text: str, title: str | None, lex: Lexicon, repair: bool = True) ->
     odd = {t for t in tokens_in(stream) - lex.fine if lex.suspicious(t)}
     if odd:
         spans += [m.span() for m in _TOKEN.finditer(stream) if m[0] in odd]
-    if spans or gone:
-        spans += [m.span() for m in _SPECK.finditer(stream)]
-    edits = Edits()
+    spans += [m.span() for m in _SPECK.finditer(stream)]
+    edits, most = Edits(), 0.0
     if spans:
         spans.sort()
         out, at = [], 0
@@ -433,6 +435,8 @@ def examine(text: str, title: str | None, lex: Lexicon, repair: bool = True) ->
             text_, e, gain = decode(stream[a2:b2], lex)
             if e and gain > GAIN:
                 edits.add(e)
+                if e.hyphens or e.misread or e.codes or e.specks:
+                    most = max(most, gain)
                 out += (stream[at:a2], text_)
                 at = b2
             elif (m := _BREAK.match(stream, a)) and m[2] != "-":
@@ -440,7 +444,7 @@ def examine(text: str, title: str | None, lex: Lexicon, repair: bool = True) ->
                 out += (stream[at:a], m[1] + m[3])
                 at = m.end()
         stream = "".join(out) + stream[at:]
-    found = Found(edits, len(gone), breaks, None)
+    found = Found(edits, len(gone), max(breaks, edits.hyphens), None, most)
     if repair and found.noisy:
         found.repaired = paragraphs(respaced(stream, lex).split("\n"))
     return found

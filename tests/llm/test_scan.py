@@ -61,6 +61,21 @@ def test_misread_characters_splits_merges_and_specks(lex):
     assert sum(a == b for a, b in zip(got, want)) >= 0.95 * len(want)
 
 
+@pytest.mark.parametrize(("right", "wrong"), [("timer", "ti | mer"), ("session", "ses~sion"), ("column", "co1umn"), ("module", "rnodule"), ("printer", "prlnter")])
+def test_one_sure_edit_is_enough(lex, right, wrong):
+    text = next(t for k in range(2000, 2100) if f" {right} " in (t := clean(k)))
+    assert not S.examine(text, None, lex).noisy
+    found = S.examine(text.replace(f" {right} ", f" {wrong} ", 1), None, lex)
+    assert found.noisy and found.repaired == text.split("\n\n")
+
+
+def test_a_broken_word_of_two_usual_halves():
+    lex = S.Lexicon({"key": 300, "word": 300, "keyword": 200, "the": 900, "is": 900, "here": 800}, 1000)
+    found = S.examine("the key-\nword is here", None, lex)
+    assert (found.noisy, found.n_breaks, found.repaired) == (True, 1, ["the keyword is here"])
+    assert not S.examine("the key-\nhere is", None, lex).noisy
+
+
 def test_lost_spaces_and_gained_ones_away_from_misread_characters(lex):
     text = clean(8)
     noisy = text.replace("calibrates every", "calibratesevery").replace("before the", "beforethe").replace("keyboard", "key board")
