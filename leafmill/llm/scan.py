@@ -108,7 +108,10 @@ class Lexicon:
         return False
 
     def misread(self, token: str) -> bool:
-        """Whether one or two misread characters away there is a word far more usual than the token."""
+        """Whether one or two misread characters away there is a word far more usual than the token.
+
+        One page with the token is no sign that it is in use; the ratio is to those beyond it, whatever the number of pages.
+        """
         known = self.memo.get(token)
         if known is None:
             if len(self.memo) > 300_000:
@@ -119,7 +122,7 @@ class Lexicon:
     def _misread(self, token: str) -> bool:
         n = max(1, self.counts.get(token, 0))
         for edits, least, times in ((1, 0.002, 50), (2, 0.01, 200)):
-            need = max(2.0 if edits == 1 else 4.0, least * self.pages, times * n if self.pages > 2000 else 0)
+            need = max(2.0 if edits == 1 else 4.0, least * self.pages, times * (n - 1))
             for word in self.variants(token, edits):
                 if self.counts.get(word, 0) >= need:
                     return True

@@ -76,6 +76,12 @@ def test_a_broken_word_of_two_usual_halves():
     assert not S.examine("the key-\nhere is", None, lex).noisy
 
 
+@pytest.mark.parametrize(("on", "usual", "misread"), [(1, 8, True), (1, 49, True), (2, 60, True), (3, 60, False)])
+def test_the_number_of_pages_is_no_switch(on, usual, misread):
+    for pages in (1000, 2000, 2001, 3000):
+        assert S.Lexicon({"module": usual, "rnodule": on, "the": pages}, pages).misread("rnodule") is misread, pages
+
+
 def test_lost_spaces_and_gained_ones_away_from_misread_characters(lex):
     text = clean(8)
     noisy = text.replace("calibrates every", "calibratesevery").replace("before the", "beforethe").replace("keyboard", "key board")
