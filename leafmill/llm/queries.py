@@ -48,9 +48,7 @@ def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    limit, overlap = limit_of(spark, d, "page_piece")
-    cut = pieces.pieces(table(spark, d, "wrap_oss_page").where(f"length(body) > {limit}"), "page_id", "body", limit, overlap)
-    return cut.where("piece_no = 1").select("page_id")
+    return p5_pieces(spark, d).where("piece_no = 1").select("page_id")
 
 
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:

@@ -21,3 +21,11 @@ def test_query_runs(spark, name):
         for f in os.listdir(DATA):
             con.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{DATA}/{f}'")
         assert sorted(rows) == sorted(con.execute(Q.SQL[name]).fetchall())
+
+
+def test_p5_found_cuts_the_whole_table(spark, monkeypatch):
+    given = []
+    real = Q.pieces.pieces
+    monkeypatch.setattr(Q.pieces, "pieces", lambda df, *a: given.append(df.count()) or real(df, *a))
+    Q.p5_found(spark, DATA)
+    assert given == [Q.table(spark, DATA, "wrap_oss_page").count()]
