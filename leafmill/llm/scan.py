@@ -1,16 +1,19 @@
 """Repairing text that was taken from scanned pages.
 
-Word counts of the whole corpus are the lexicon. Page furniture (running heads, feet, page numbers) is taken out;
-in what is left, the stretches around suspicious words are decoded as one stream of characters
-without lines: a shortest path over joint segmentations, in which a word may have lost or gained a space, hold
-misread characters or a speck, or be hyphenated at a line's end, each at a cost against the words'
-frequencies. The lines are then joined into paragraphs by dynamic programming over their boundaries.
+Word counts of the whole corpus are the lexicon. Each paragraph that holds anything suspicious is decoded
+as one stream of characters: a shortest path over joint segmentations, in which a word may have lost or gained a space, hold
+misread characters or a speck, or be hyphenated at a line's end, and whole lines may be page furniture (running heads,
+feet, page numbers) to be passed over, each at a cost against the words' frequencies. A page is noisy if the edits
+of its cheapest paths gain enough over the text as it stands. The lines are then joined into paragraphs by
+dynamic programming over their boundaries.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from array import array
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -31,13 +34,15 @@ MISREAD = tuple(p.split(">") for p in "0>o 1>l 1>i 5>s 6>b 8>b 9>g (>c |>l |>i !
 BY_FIRST: dict[str, list[tuple[str, str]]] = {}
 for _seen, _meant in MISREAD:
     BY_FIRST.setdefault(_seen[0], []).append((_seen, _meant))
-CODE_COST, LETTER_COST, HYPHEN_COST, SPACE_COST, SPECK_COST, UNKNOWN_COST = 3.0, 4.0, 0.5, 5.0, 3.5, 16.0
-#: A lost space, and what a letter of an unknown word costs at least where spaces are looked for.
-LOST_COST, UNKNOWN_LETTER_COST = 3.0, 2.5
-#: By how much a decoded stretch must beat what stands there.
-GAIN = 1.0
-#: And by how much for its edits alone to make the page a noisy one.
-SURE = 2.0
+CODE_COST, LETTER_COST, HYPHEN_COST, SPACE_COST, SPECK_COST = 3.5, 4.5, 0.0, 5.5, 4.0
+#: A lost space; what a word costs that isn't in the lexicon, at least and a letter; a hyphen of the kinds no text has at a line's end.
+LOST_COST, UNKNOWN_COST, UNKNOWN_LETTER_COST, SOFT_COST = 3.5, 17.0, 2.0, 8.0
+#: What a lone speck between two words of a line of prose costs if it stays.
+KEPT_SPECK = 4.0
+#: By how much the edits together must beat what stands there to make the page a noisy one; and lost and gained spaces alone.
+SURE, SURE_SPACES = 1.5, 30.0
+#: Edits of a word besides hyphens: so many, or one for so many letters.
+EDITS, LETTERS_AN_EDIT = 2, 4
 HYPHENS = "-\xad¬"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -48,14 +53,18 @@ _ASCII_TOKENS = str.maketrans({c: " " for c in b",;:?<>/=[]{}"})
 _SHAPE = re.compile(r"[^\W_]*[(|!]?[^\W_]*")
 _CAMEL = re.compile(r"[^\W\d_A-ZА-Я][A-ZА-Я]")
 _CODE = re.compile(r"(?<=[^\W\d_])[0-9(|!](?=[^\W\d_])")
-_BREAK = re.compile(r"([^\W\d_]+)([-\xad¬])[ \t]*\n[ \t]*([^\W\d_]+)")
 _NUMBER = re.compile(r"(?:-|–|—)\s?(\d{1,4})\s?(?:-|–|—)|\[(\d{1,4})\]|[Pp]age (\d{1,4})|[Ss]eite (\d{1,4})|(\d{1,4})")
 _HEAD_NUMBER = re.compile(r"(\S.*?\S)(?: {3,}|\t+| \| )(\d{1,4})|(\d{1,4})(?: {3,}|\t+| \| )(\S.*\S)")
 _CANDIDATE = re.compile(r"(?m)^[ \t\f]*(?:[-–—\[]?\s?\d{1,4}\s?[-–—\]]?[ \t\f]*$|(?:[Pp]age|[Ss]eite) \d|\d{1,4}(?: {3}|\t| \| ))|(?:   |\t| \| )\d{1,4}[ \t\f]*$")
+_HYPHEN_END = re.compile(r"[-\xad¬][ \t]*\n[ \t]*(?=[^\W\d_]|[-–—\[(\d])")
+_SOFT_END = re.compile(r"[\xad¬][ \t]*\n")
+_SPECK_BETWEEN = re.compile(r"(?<=[^\W\d_]) +[|'~.^`¸] +(?=[^\W\d_])")
+_BLANK = re.compile(r"\n[ \t\f]*\n\s*")
+_WORD_BEFORE = re.compile(r"([^\W\d_]+)[ \n]\Z")
+_WORD_AFTER = re.compile(r"[ \n]([^\W\d_]+)")
 _LINE_END_HYPHEN = re.compile(r"[-\xad¬][ \t]*\n")
 _SPECK = re.compile(r"(?<=[^\W\d_]) +[|'~.\"^*·`¸] +(?=[^\W\d_])|(?<=[^\W\d_,;]) +[|'~.^*·`¸](?=[^\W\d_A-Z]{2})|(?<=[^\W\d_]{2})[|~^*](?=[^\W\d_]{2})")
 _LONE = re.compile(r" *[|'~.\"^*·`¸] *(?=[^\W\d_])")
-_SPECK_AT = re.compile(r" +[|'~.\"^*·`¸] *(?=[^\W\d_])")
 _VERBATIM = re.compile(r"[ \t]{2,}\S|[-*•o]\s|\d{1,3}[.)]\s|.*[{};|]\s*$|[=\-~_*]{3,}\s*$|.*\S {2,}\S|set [A-Z]+=|for \(|if \(|hr = ")
 _ENDS = re.compile(r"[.!?。！？:…][\"'”’»)\]]*\s*$")
 
@@ -69,48 +78,77 @@ def tokens_in(text: str) -> set[str]:
     return set(text.translate(_ASCII_TOKENS).split() if text.isascii() else _TOKEN.findall(text))
 
 
-@dataclass
-class Lexicon:
-    """Words with the number of pages that have them, and all their beginnings."""
+#: Bytes that a word of the lexicon takes in a worker, about: a string of some ten letters, its place in a list and its number.
+WORD_BYTES = 75
 
-    counts: dict[str, int]
-    pages: int
-    prefixes: frozenset[str] = field(default=frozenset())
-    memo: dict[str, bool] = field(default_factory=dict)
-    fine: set[str] = field(default_factory=set)
 
-    def __post_init__(self):
-        self.total = max(1, sum(self.counts.values()))
-        if not self.prefixes:
-            self.prefixes = frozenset(w[:n] for w in self.counts for n in range(1, len(w) + 1))
+class Lexicon:
+    """Words, sorted, with the number of pages that have them; beginnings are looked up in the same list."""
+
+    def __init__(self, counts: dict[str, int] | tuple[list[str], list[int]], pages: int):
+        words, numbers = (list(counts), list(counts.values())) if isinstance(counts, dict) else counts
+        if any(a > b for a, b in zip(words, words[1:])):
+            order = sorted(range(len(words)), key=words.__getitem__)
+            words, numbers = [words[k] for k in order], [numbers[k] for k in order]
+        self.words, self.numbers, self.pages = words, array("q", numbers), pages
+        self.total = max(1, sum(self.numbers))
+        least = max(3, COMMON * pages)
+        self.usual = {w: n for w, n in zip(words, self.numbers) if n >= least}  # at most the mean number of different words of a page / COMMON
+        self.longest = max(map(len, self.usual), default=0)
+        self.begun: dict[str, bool] = {}
+        self.memo: dict[str, bool] = {}
+        self.fine: set[str] = set()
+
+    def count(self, word: str) -> int:
+        n = self.usual.get(word)
+        if n is None:
+            k = bisect_left(self.words, word)
+            n = self.numbers[k] if k < len(self.words) and self.words[k] == word else 0
+        return n
+
+    def begins(self, part: str) -> bool:
+        """Whether any word begins so."""
+        known = self.begun.get(part)
+        if known is None:
+            if len(self.begun) > 300_000:
+                self.begun.clear()
+            k = bisect_left(self.words, part)
+            known = self.begun[part] = k < len(self.words) and self.words[k].startswith(part)
+        return known
 
     def cost(self, word: str) -> float | None:
-        n = self.counts.get(word)
-        return None if n is None else math.log(self.total / n)
+        n = self.count(word)
+        return math.log(self.total / n) if n else None
+
+    def stands(self, word: str) -> float:
+        """What a word costs as it stands."""
+        own = self.cost(word.lower())
+        return max(UNKNOWN_COST, UNKNOWN_LETTER_COST * len(word)) if own is None else own
 
     def common(self, word: str) -> bool:
-        return self.counts.get(word, 0) >= max(3, COMMON * self.pages)
+        return word in self.usual
 
     def suspicious(self, raw: str) -> bool:
         """Whether a token as it stands in the text should be decoded; those that need not are remembered."""
         token = raw.strip(".'\"()*&–—-·’")
-        if 4 <= len(token) <= 30:
-            low = token.lower()
-            if not self.common(low) and _SHAPE.fullmatch(low) and not low.isdigit():
-                if not (_CAMEL.search(token) and token[0].isupper()):
-                    if self.misread(low):
-                        return True
-                elif _CODE.search(low) and any(self.counts.get(w, 0) > 2 + 3 * self.counts.get(low, 0) for w in self.variants(low, 1)):
-                    return True  # a name, misread as a sign or a digit within it
-        if len(self.fine) > 500_000:
-            self.fine.clear()
-        self.fine.add(raw)
+        low = token.lower()
+        if len(token) > 1 and not self.common(low) and _SHAPE.fullmatch(low) and not low.isdigit():
+            if not (_CAMEL.search(token) and token[0].isupper()):
+                if self.misread(low) or self.run_together(token):
+                    return True
+            elif _CODE.search(low) and any(self.count(w) > 2 + 3 * self.count(low) for w in self.variants(low, 1)):
+                return True  # a name, misread as a sign or a digit within it
+        if not low.isalpha() or self.common(low) or token != low:  # a rare word may be part of one
+            if len(self.fine) > 500_000:
+                self.fine.clear()
+            self.fine.add(raw)
         return False
 
     def misread(self, token: str) -> bool:
         """Whether one or two misread characters away there is a word far more usual than the token.
 
         One page with the token is no sign that it is in use; the ratio is to those beyond it, whatever the number of pages.
+        In tokens of two or three characters, of which many are names or cut words, only signs and digits count, for words that are the more usual.
         """
         known = self.memo.get(token)
         if known is None:
@@ -120,12 +158,29 @@ class Lexicon:
         return known
 
     def _misread(self, token: str) -> bool:
-        n = max(1, self.counts.get(token, 0))
+        n = max(1, self.count(token))
+        if len(token) < 4 and token.isalpha():
+            return False
+        short = 10.0 ** max(0, 4 - len(token))
         for edits, least, times in ((1, 0.002, 50), (2, 0.01, 200)):
-            need = max(2.0 if edits == 1 else 4.0, least * self.pages, times * (n - 1))
-            for word in self.variants(token, edits):
-                if self.counts.get(word, 0) >= need:
-                    return True
+            need = max(2.0 if edits == 1 else 4.0, least * short * self.pages, times * short * (n - 1))
+            if need <= self.pages and any(self.count(word) >= need for word in self.variants(token, edits)):
+                return True
+        return any(self.count(word) >= max(4.0, 0.01 * self.pages, 200 * (n - 1)) for edits in range(3, len(token) // LETTERS_AN_EDIT + 1) for word in self.variants(token, edits))
+
+    def run_together(self, token: str) -> bool:
+        """Whether a rare token in small letters begins with a common word and goes on with words."""
+        if not token[1:].islower() or len(token) < 5 or self.count(token.lower()) > 1:
+            return False
+        low, ends, todo = token.lower(), {0}, [0]
+        while todo:  # from the ends of common words to those of the next
+            at = todo.pop()
+            for k in range(at + 2, min(len(low), at + self.longest) + 1):
+                if k not in ends and k != len(low) - 1 and self.common(low[at:k]):
+                    if k == len(low):
+                        return True
+                    ends.add(k)
+                    todo.append(k)
         return False
 
     def variants(self, token: str, edits: int) -> set[str]:
@@ -138,24 +193,24 @@ class Lexicon:
                 if done == edits:
                     out.add(made)
                 continue
-            if made + token[at] in self.prefixes:
+            if self.begins(made + token[at]):
                 todo.append((at + 1, made + token[at], done))
             if done < edits:
                 for seen, meant in BY_FIRST.get(token[at], ()):
-                    if token.startswith(seen, at) and made + meant in self.prefixes:
+                    if token.startswith(seen, at) and self.begins(made + meant):
                         todo.append((at + len(seen), made + meant, done + 1))
         return out
 
 
 def count_words(df: DataFrame, text_col: str) -> DataFrame:
-    """(word, pages): in how many texts each word occurs, over all texts; words broken at a line's end count as whole too."""
+    """(word, pages): in how many texts each word occurs, over all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own: Counter = Counter()
             for text in batch.column(0).to_pylist():
                 if text:
-                    own.update([w for w in words_in(text) if len(w) <= 40])
+                    own.update(words_in(text))
             yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()), pa.array(list(own.values()), pa.int64())], ["word", "pages"])
 
     return df.select(text_col).mapInArrow(run, "word string, pages long").groupBy("word").agg(F.sum("pages").alias("pages"))
@@ -168,103 +223,189 @@ class Edits:
     codes: int = 0
     spaces: int = 0
     specks: int = 0
+    furniture: int = 0
 
-    def add(self, other: Edits) -> None:
-        for k, v in vars(other).items():
+    def add(self, other: tuple[int, ...]) -> None:
+        for k, v in zip(vars(self), other):
             setattr(self, k, getattr(self, k) + v)
 
     def __bool__(self) -> bool:
         return any(vars(self).values())
 
 
-def words_at(s: str, i: int, lex: Lexicon, apart: bool = False) -> list[tuple[int, str, float, Edits]]:
-    """All words that the stream can mean from position i on: (end, word, cost, edits); at most two edits besides hyphens.
+NONE = (0, 0, 0, 0, 0, 0)
+Skips = dict[int, tuple[int, float, int]]  # where page furniture begins -> where it ends, what keeping it costs, its lines
 
-    With ``apart`` a common word may also end before a small letter, where a space was lost.
+
+def words_at(s: str, i: int, lex: Lexicon, skips: Skips) -> list[tuple[int, str, float, tuple[int, ...]]]:
+    """All words that the stream can mean from position i on: (end, word, cost, edits).
+
+    A common word may also end before a small letter, where a space was lost; one broken by a hyphen goes on behind page furniture.
     """
     out = []
-    todo = [(i, "", 0.0, (0, 0, 0, 0, 0))]
+    todo = [(i, "", 0.0, NONE)]
     n = len(s)
+    most = i
+    while most < n and not s[most].isspace():
+        most += 1
+    most = max(EDITS, (most - i) // LETTERS_AN_EDIT)
     while todo:
         j, made, cost, e = todo.pop()
         if made and (j == n or not s[j].isalpha()):
             own = lex.cost(made)
             if own is not None:
-                out.append((j, made, own + cost, Edits(*e)))
-        elif apart and len(made) > 1 and s[j].islower() and s[j - 1].isalnum() and lex.common(made):
-            out.append((j, made, lex.cost(made) + cost + LOST_COST, Edits(*e[:3], e[3] + 1, e[4])))
-        if j >= n or len(made) > 40:
+                out.append((j, made, own + cost, e))
+        elif len(made) > 1 and s[j].islower() and s[j - 1].isalnum() and lex.common(made):
+            out.append((j, made, lex.cost(made) + cost + LOST_COST, (*e[:3], e[3] + 1, *e[4:])))
+        if j >= n:
             continue
         ch = s[j].lower()
-        if made + ch in lex.prefixes:
+        if lex.begins(made + ch):
             todo.append((j + 1, made + ch, cost, e))
         edits = e[1] + e[2] + e[3] + e[4]
-        if edits < 2:
+        if edits < most:
             for seen, meant in BY_FIRST.get(ch, ()):
-                if (len(seen) == 1 or s[j + 1 : j + 2].lower() == seen[1]) and made + meant in lex.prefixes:
+                if (len(seen) == 1 or s[j + 1 : j + 2].lower() == seen[1]) and lex.begins(made + meant):
                     code = not seen[0].isalpha()
-                    todo.append((j + len(seen), made + meant, cost + (CODE_COST if code else LETTER_COST), (e[0], e[1] + (not code), e[2] + code, e[3], e[4])))
-        if made and s[j] in HYPHENS and s[j + 1 : j + 2] == "\n" and e[0] == 0:
-            todo.append((j + 2, made, cost + HYPHEN_COST, (1, *e[1:])))
-        elif made and edits < 2 and e[4] == 0 and (m := _LONE.match(s, j)):
-            todo.append((m.end(), made, cost + SPECK_COST, (*e[:4], 1)))
-        elif made and edits < 2 and e[3] == 0 and s[j] in " \n" and j + 1 < n and s[j + 1].isalpha():
-            todo.append((j + 1, made, cost + SPACE_COST, (*e[:3], 1, e[4])))
+                    todo.append((j + len(seen), made + meant, cost + (CODE_COST if code else LETTER_COST), (e[0], e[1] + (not code), e[2] + code, *e[3:])))
+        if not made:
+            continue
+        if s[j] in HYPHENS and e[0] == 0 and (m := _HYPHEN_END.match(s, j)):
+            k, _, lines = skips.get(m.end(), (m.end(), 0.0, 0))
+            todo.append((k, made, cost + HYPHEN_COST, (1, *e[1:5], e[5] + lines)))
+        elif edits < most and e[4] == 0 and (m := _LONE.match(s, j)):
+            todo.append((m.end(), made, cost + SPECK_COST, (*e[:4], 1, e[5])))
+        elif edits < most and e[3] == 0 and s[j] in " \n" and j + 1 < n and s[j + 1].isalpha():
+            todo.append((j + 1, made, cost + SPACE_COST, (*e[:3], 1, *e[4:])))
     return out
 
 
-def decode(s: str, lex: Lexicon, apart: bool = False) -> tuple[str, Edits, float]:
-    """The cheapest reading of a stream, its edits, and by how much it beats the stream as it stands.
+@dataclass
+class Reading:
+    """The cheapest reading of a stream, its edits, and what they gained over the stream as it stands."""
+
+    text: str
+    edits: Edits
+    gain: float = 0.0
+    spaces: dict[str, float] = field(default_factory=dict)
+
+
+def beside(a: int, b: int, skips: Skips) -> list[tuple[int, int]]:
+    """A part of the stream without the page furniture in it."""
+    out = []
+    for k in sorted(k for k in skips if a < k < b):
+        out.append((a, k))
+        a = skips[k][0]
+    return [*out, (a, b)]
+
 
-    With ``apart`` words may have lost the space between them.
+def plain_cost(s: str, a: int, b: int, lex: Lexicon, skips: Skips, kept: dict[int, float]) -> float:
+    """What a part of the stream costs as it stands."""
+    cost = sum(lex.stands(m[0]) for m in _WORD.finditer(s, a, b))
+    cost += sum(SOFT_COST for m in _SOFT_END.finditer(s, a, b))
+    return cost + sum(c for k, c in kept.items() if a <= k < b) + sum(c for k, (_, c, _) in skips.items() if a <= k < b)
+
+
+def decode(s: str, lex: Lexicon, skips: Skips | None = None, look: list[tuple[int, int]] | None = None) -> Reading:
+    """Read a stream the cheapest way.
+
+    Only words that begin within the spans of ``look`` (all, if it isn't given) can mean others than they are: elsewhere
+    every word is usual and followed by usual ones, so that it is cheapest as it stands.
     """
     n = len(s)
-    stands = lambda w: lex.cost(w.lower()) or max(UNKNOWN_COST, UNKNOWN_LETTER_COST * len(w) * apart)
-    best: list[tuple[float, int, str, Edits] | None] = [None] * (n + 1)
-    best[0] = (0.0, -1, "", Edits())
-    plain = 0.0
-    for m in re.finditer(r"[^\W\d_]+", s):
-        plain += stands(m[0])
+    skips = skips or {}
+    kept = lone_specks(s)
+    costs: list[float | None] = [None] * (n + 1)
+    costs[0] = 0.0
+    back: list[tuple[int, str, tuple[int, ...]]] = [(0, "", NONE)] * (n + 1)
+    spans = iter([*(look if look is not None else [(0, n)]), (n + 1, n + 1)])
+    x, y = next(spans)
+
+    def reach(i: int, j: int, cost: float, text: str, e: tuple[int, ...]) -> None:
+        if costs[j] is None or cost < costs[j] - 1e-9:
+            costs[j] = cost
+            back[j] = (i, text, e)
+
+    inside = 0  # page furniture is passed over or kept as it is
     for i in range(n):
-        if best[i] is None:
+        if i in skips:
+            inside = skips[i][0]
+        here = costs[i]
+        if here is None:
             continue
-        here = best[i][0]
-
-        def reach(j: int, cost: float, text: str, e: Edits) -> None:
-            if best[j] is None or cost < best[j][0] - 1e-9:
-                best[j] = (cost, i, text, e)
-
-        if not s[i].isalpha():
-            reach(i + 1, here, s[i], Edits())
-            if i and (m := _SPECK_AT.match(s, i)):
-                reach(m.end(), here + 0.5, " ", Edits(specks=1))
-        lost = apart and i > 0 and s[i - 1].isalnum() and best[i][2].endswith(" ")
-        if (s[i].isalnum() or s[i] in "(|!") and (i == 0 or not s[i - 1].isalnum() or s[i - 1] == "\n" or lost):
-            for j, word, cost, e in words_at(s, i, lex, apart):
+        while i >= y:
+            x, y = next(spans)
+        ch = s[i]
+        if i in skips:
+            end, keep, lines = skips[i]
+            reach(i, end, here + plain_cost(s, i, end, lex, {}, {}), "", (0, 0, 0, 0, 0, lines))
+            here += keep
+        letter = ch.isalpha()
+        if not letter:
+            reach(i, i + 1, here + kept.get(i, 0.0) + (SOFT_COST if ch in "\xad¬" and _SOFT_END.match(s, i) else 0.0), ch, NONE)
+            if i >= inside and i in kept and (m := _SPECK_BETWEEN.match(s, i)):
+                reach(i, m.end(), here + 1.0, "" if i and s[i - 1] == " " else " ", (0, 0, 0, 0, 1, 0))
+        lost = i > 0 and s[i - 1].isalnum() and back[i][1].endswith(" ")
+        if i >= max(x, inside) and (letter or ch.isdigit() or ch in "(|!") and (i == 0 or not s[i - 1].isalnum() or lost):
+            for j, word, cost, e in words_at(s, i, lex, skips):
+                if e == NONE:
+                    continue  # the arc below
                 text = s[i:j]
-                if e and not (e.misread or e.codes):
+                if e[5]:
+                    text = "".join(s[a:b] for a, b in beside(i, j, skips))
+                if not (e[1] or e[2]):
                     text = "".join(filter(str.isalpha, text))
-                elif e and len(text) == len(word):
-                    text = "".join(o if o.lower() == w else w.upper() if o.isupper() or text.isupper() else w for k, (o, w) in enumerate(zip(text, word)))
-                elif e:
+                elif len(text) == len(word):
+                    text = "".join(o if o.lower() == w else w.upper() if o.isupper() or text.isupper() else w for o, w in zip(text, word))
+                else:
                     text = word.upper() if text.isupper() and len(text) > 1 else word.capitalize() if text[0].isupper() else word
-                reach(j, here + cost, text + " " * (j < n and s[j].isalpha() and s[j - 1].isalnum()), e)
-        if s[i].isalpha():
-            j = i + 1
-            while j < n and s[j].isalpha():
-                j += 1
-            reach(j, here + stands(s[i:j]), s[i:j], Edits())
-    parts, edits, at = [], Edits(), n
+                reach(i, j, here + cost, text + " " * (j < n and s[j].isalpha() and s[j - 1].isalnum()), e)
+        if letter:
+            j = _WORD.match(s, i).end()
+            reach(i, j, here + lex.stands(s[i:j]), s[i:j], NONE)
+            if i >= max(x, inside) and j < n and s[j] in HYPHENS and (m := _HYPHEN_END.match(s, j)):
+                end, _, lines = skips.get(m.end(), (m.end(), 0.0, 0))
+                # A word that is nowhere else is one if neither half is a word.
+                if (w := _WORD.match(s, end)) and w[0].islower() and (s[j] != "-" or j - i > 1 and not lex.count(s[i:j].lower()) and not lex.count(w[0])):
+                    whole = s[i:j] + w[0]
+                    reach(i, w.end(), here + lex.stands(whole) + HYPHEN_COST, whole, (1, 0, 0, 0, 0, lines))
+    parts, found, at = [], Reading("", Edits()), n
+    end, own = n, NONE  # of words that were run together
     while at > 0:
-        _, before, text, e = best[at]
+        before, text, e = back[at]
         parts.append(text)
-        edits.add(e)
+        own = tuple(map(sum, zip(own, e))) if e != NONE else own
+        if before == 0 or not (s[before - 1].isalnum() and s[before].isalpha()):
+            if own != NONE:
+                found.edits.add(own)
+                gain = plain_cost(s, before, end, lex, skips, kept) - (costs[end] - costs[before])
+                if own[0] or own[1] or own[2] or own[4] or own[5]:
+                    found.gain += gain
+                else:
+                    found.spaces[s[before:end]] = gain
+            end, own = before, NONE
         at = before
-    return "".join(reversed(parts)), edits, plain - best[n][0]
+    found.text = "".join(reversed(parts))
+    return found
+
+
+def lone_specks(s: str) -> dict[int, float]:
+    """Where specks stand alone between two words of a line of prose that has no other such sign: what keeping each costs."""
+    out: dict[int, float] = {}
+    end, alone = -1, frozenset()
+    for m in _SPECK_BETWEEN.finditer(s):
+        if m.start() > end:
+            end = e if (e := s.find("\n", m.end())) >= 0 else len(s)
+            line = s[s.rfind("\n", 0, m.start()) + 1 : end]
+            alone = frozenset(ch for ch in "|'~.^`¸" if line.count(" ") > 4 and line.count(f" {ch} ") == 1)
+        sign = m[0].strip()
+        if sign in alone and (s[m.end()].islower() or s[m.start() - 1].islower() and sign in ".~^`"):
+            out[m.start()] = KEPT_SPECK
+    return out
 
 
-def furniture(lines: list[str], title: str | None) -> set[int]:
-    """The lines that are running heads, feet or page numbers.
+def furniture(lines: list[str], title: str | None) -> list[tuple[int, int, float]]:
+    """(first line, last line, what keeping them costs) of the running heads, feet and page numbers.
 
     Candidates are lone numbers and lines with a number beside a heading. One counts if a heading like the
     title, or one repeated with other numbers, stands with it, if a form feed ends it, or if it interrupts a sentence
@@ -276,7 +417,7 @@ def furniture(lines: list[str], title: str | None) -> set[int]:
     heads = Counter()
     for i, raw in enumerate(lines):
         line = raw.strip(" \t\r\f")
-        if not line or len(line) > 120 or not (line[-1].isdigit() or line[0].isdigit() or line[-1] in "]-–—"):
+        if not line or not (line[-1].isdigit() or line[0].isdigit() or line[-1] in "]-–—"):
             continue
         m = _NUMBER.fullmatch(line)
         if m:
@@ -285,7 +426,7 @@ def furniture(lines: list[str], title: str | None) -> set[int]:
             for j in (i + 1, i - 1):
                 if 0 <= j < len(lines):
                     other = lines[j].strip(" \t\r\f")
-                    if 3 < len(other) <= 90 and not _ENDS.search(other) and len(plain(other)) > 3 and (like(plain(other), name) or "\f" in lines[j] or j > i):
+                    if 3 < len(other) and not _ENDS.search(other) and len(plain(other)) > 3 and (like(plain(other), name) or "\f" in lines[j] or j > i):
                         head, own = plain(other), sorted((i, j))
                         break
             found[i] = (int(m[k]), f"n{k}", head, own)
@@ -295,7 +436,7 @@ def furniture(lines: list[str], title: str | None) -> set[int]:
                 found[i] = (int(m[2] or m[3]), "h1" if m[1] else "h2", head, [i])
         if i in found and found[i][2]:
             heads[found[i][2]] += 1
-    out: set[int] = set()
+    out: list[tuple[int, int, float]] = []
     numbers: dict[str, set[int]] = defaultdict(set)
     for n, kind, _, _ in found.values():
         numbers[kind].add(n)
@@ -314,8 +455,14 @@ def furniture(lines: list[str], title: str | None) -> set[int]:
             feed, own = True, [*own, own[-1] + 1]  # a line of nothing but the feed
         score = 2 * feed + 2 * titled + 2 * again + interrupts(lines, own[0], own[-1]) + series * (kind != "n5") + marked + (kind == "n2") * 0.5
         if score >= 2:
-            out.update(own)
-    return out
+            out.append((min(own), max(own), 2.0 * score - 1.5))
+    merged: list[tuple[int, int, float]] = []
+    for first, last, cost in sorted(out):
+        if merged and first <= merged[-1][1] + 1:
+            merged[-1] = (merged[-1][0], max(last, merged[-1][1]), max(cost, merged[-1][2]))
+        else:
+            merged.append((first, last, cost))
+    return merged
 
 
 def like(a: str, b: str) -> bool:
@@ -390,81 +537,83 @@ def paragraphs(lines: list[str]) -> list[str]:
 @dataclass
 class Found:
     edits: Edits
-    n_furniture: int
-    n_breaks: int
-    repaired: list[str] | None
-    gain: float = 0.0  # the most that a stretch with a hyphen, misread character or speck gained
+    repaired: list[str] | None = None
+    gain: float = 0.0  # what the edits gained together, but for those of spaces alone
+    spaces: dict[str, float] = field(default_factory=dict)
 
     @property
     def noisy(self) -> bool:
-        e = self.edits
-        return bool(self.n_furniture or self.n_breaks or self.gain > SURE or e.codes + e.misread >= 2 or e.codes and e.specks)
+        return self.gain > SURE or sum(self.spaces.values()) > SURE_SPACES
 
 
 def examine(text: str, title: str | None, lex: Lexicon, repair: bool = True) -> Found:
     """What scanning left in one text, and the text without it."""
     if "\r" in text:
         text = text.replace("\r\n", "\n").replace("\r", "\n")
-    lines = text.split("\n")
-    gone = furniture(lines, title) if _CANDIDATE.search(text) else set()
-    if gone:
-        kept = [x.replace("\f", "") for k, x in enumerate(lines) if k not in gone]
-    else:
-        kept = [x.replace("\f", "") for x in lines] if "\f" in text else lines
-    stream = "\n".join(kept) if gone or "\f" in text else text
-    spans: list[tuple[int, int]] = []
-    breaks = 0
-    for end in _LINE_END_HYPHEN.finditer(stream):
-        start = end.start()
-        while start and stream[start - 1].isalpha():
-            start -= 1
-        m = _BREAK.match(stream, start)
-        if m is None:
-            continue
-        whole, a, b = (m[1] + m[3]).lower(), m[1].lower(), m[3].lower()
-        if m[2] != "-" or whole in lex.counts and not (lex.common(a) and lex.common(b)) or not m[3][0].isupper() and a not in lex.counts and b not in lex.counts and len(a) > 1:
-            breaks += 1
-        spans.append(m.span())
-    odd = {t for t in tokens_in(stream) - lex.fine if lex.suspicious(t)}
-    if odd:
-        spans += [m.span() for m in _TOKEN.finditer(stream) if m[0] in odd]
-    spans += [m.span() for m in _SPECK.finditer(stream)]
-    edits, most = Edits(), 0.0
+    skips: Skips = {}
+    if _CANDIDATE.search(text):
+        lines = text.split("\n")
+        starts = [0]
+        for x in lines:
+            starts.append(starts[-1] + len(x) + 1)
+        skips = {starts[a]: (min(len(text), starts[b + 1]), cost, b - a + 1) for a, b, cost in furniture(lines, title)}
+    spans = [(max(0, a - 1), end) for a, (end, _, _) in skips.items()]
+    spans += [m.span() for m in _LINE_END_HYPHEN.finditer(text)]
+    if (fresh := tokens_in(text) - lex.fine) and (odd := {t for t in fresh if lex.suspicious(t)} | parted(text, fresh - lex.fine, lex)):
+        spans += [m.span() for m in _TOKEN.finditer(text) if m[0] in odd]
+    spans += [m.span() for m in _SPECK.finditer(text)]
+    found = Found(Edits())
     if spans:
         spans.sort()
         out, at = [], 0
-        for a, a2, b2 in stretches(stream, spans):
-            a2 = max(a2, at)
-            text_, e, gain = decode(stream[a2:b2], lex)
-            if e and gain > GAIN:
-                edits.add(e)
-                if e.hyphens or e.misread or e.codes or e.specks:
-                    most = max(most, gain)
-                out += (stream[at:a2], text_)
-                at = b2
-            elif (m := _BREAK.match(stream, a)) and m[2] != "-":
-                edits.hyphens += 1
-                out += (stream[at:a], m[1] + m[3])
-                at = m.end()
-        stream = "".join(out) + stream[at:]
-    found = Found(edits, len(gone), max(breaks, edits.hyphens), None, most)
-    if repair and found.noisy:
-        found.repaired = paragraphs(respaced(stream, lex).split("\n"))
+        for a, b, look in regions(text, spans, skips):
+            read = decode(text[a:b], lex, {k - a: (end - a, cost, n) for k, (end, cost, n) in skips.items() if a <= k < b}, look)
+            if read.edits:
+                found.edits.add(tuple(vars(read.edits).values()))
+                found.gain += read.gain
+                found.spaces |= read.spaces
+                out += (text[at:a], read.text)
+                at = b
+        if repair and found.noisy:
+            found.repaired = paragraphs(("".join(out) + text[at:]).replace("\f", "").split("\n"))
     return found
 
 
-def respaced(stream: str, lex: Lexicon) -> str:
-    """A noisy text with the spaces given back or taken out that words not in usual use lost or gained."""
-    usual = lambda w: w.isupper() and len(w) > 1 or _CAMEL.search(w) or lex.common(w.lower())
-    spans = [m.span() for m in _WORD.finditer(stream) if not usual(m[0])]
-    out, at = [], 0
-    for _, a, b in stretches(stream, spans):
-        a = max(a, at)
-        text, e, gain = decode(stream[a:b], lex, True)
-        if e.spaces and gain > GAIN:
-            out += (stream[at:a], text)
-            at = b
-    return "".join(out) + stream[at:]
+def parted(text: str, rare: set[str], lex: Lexicon) -> set[str]:
+    """Of some rare tokens those that make a word with the token before or after them."""
+    out = set()
+    for t in rare:
+        low = t.strip(".'\"()*").lower()
+        if not low.isalpha() or lex.common(low):
+            continue
+        at = text.find(low)
+        while at >= 0:
+            end = at + len(low)
+            if (at == 0 or not text[at - 1].isalpha()) and (end == len(text) or not text[end].isalpha()):
+                before, after = _WORD_BEFORE.search(text, max(0, at - 40), at), _WORD_AFTER.match(text, end)
+                if before and lex.count(before[1].lower() + low) or after and lex.begins(low) and lex.count(low + after[1].lower()):
+                    out.add(t)
+                    break
+            at = text.find(low, end)
+    return out
+
+
+def regions(s: str, spans: list[tuple[int, int]], skips: Skips) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+    """(start, end, spans within it in which words may be others) of the paragraphs that hold any of the spans.
+
+    The paragraphs before and after page furniture are one stream.
+    """
+    look = [(x, y) for _, x, y in stretches(s, spans)]
+    bounds = [m.span() for m in _BLANK.finditer(s) if not any(x <= m.end() and m.start() <= skips[x][0] for x in skips)]
+    k, at = 0, 0
+    for a, b in [*bounds, (len(s), len(s))]:
+        own = []
+        while k < len(look) and look[k][0] < a:
+            own.append((max(0, look[k][0] - at), min(a, look[k][1]) - at))
+            k += 1
+        if own:
+            yield at, a, own
+        at = b
 
 
 def stretches(s: str, spans: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
@@ -478,7 +627,7 @@ def stretches(s: str, spans: list[tuple[int, int]]) -> Iterator[tuple[int, int,
             b = max(b, spans[k][1])
             y = widened(s, a, b)[1]
         k += 1
-        yield a, x, y
+        yield a, x, max(y, b)
 
 
 def widened(s: str, a: int, b: int) -> tuple[int, int]:
@@ -500,11 +649,16 @@ def widened(s: str, a: int, b: int) -> tuple[int, int]:
     return x, y
 
 
-def lexicon_of(df: DataFrame, text_col: str) -> Lexicon:
-    """The lexicon of a corpus: counts over all texts, of which the rarest are left out by a share of the texts."""
+def lexicon_of(df: DataFrame, text_col: str) -> tuple[pa.Table, int]:
+    """The lexicon of a corpus: (word, pages) over all texts, of which the rarest are left out by a share of the texts, and the number of texts."""
     pages = df.where(F.col(text_col).isNotNull()).count()
-    rows = count_words(df, text_col).where(F.col("pages") >= max(2, math.ceil(SHARE * pages))).collect()
-    return Lexicon({r["word"]: r["pages"] for r in rows}, pages)
+    rows = count_words(df, text_col).where(F.col("pages") >= max(2, math.ceil(SHARE * pages)))
+    return rows.toArrow(), pages  # bounded by SHARE: see lexicon_bound
+
+
+def lexicon_bound(words_a_page: float) -> float:
+    """MB that the lexicon takes in a worker at most, for pages with so many different words in the mean, however many pages there are."""
+    return words_a_page / SHARE * WORD_BYTES / 1e6
 
 
 def scan_noise(df: DataFrame, id_col: str, text_col: str, title_col: str | None = None, repair: bool = True) -> DataFrame:
@@ -514,21 +668,23 @@ def scan_noise(df: DataFrame, id_col: str, text_col: str, title_col: str | None
     those without noise give no row; repeated rows are judged each by itself; an empty table gives no rows.
     """
     spark = df.sparkSession
-    lex = lexicon_of(df, text_col)
-    held = spark.sparkContext.broadcast((lex.counts, lex.pages))  # bounded by SHARE
+    words, pages = lexicon_of(df, text_col)
+    held = spark.sparkContext.broadcast((words, pages))  # bounded by SHARE
     kind = df.schema[id_col].dataType
     numbers = ("n_breaks", "n_misread", "n_specks", "n_furniture")
     schema = T.StructType([T.StructField(id_col, kind), *(T.StructField(c, T.IntegerType()) for c in numbers), T.StructField("repaired", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Lexicon(*held.value)
+        words, pages = held.value
+        words = words.sort_by("word")
+        own = Lexicon((words["word"].to_pylist(), words["pages"].to_pylist()), pages)
         for batch in batches:
             at, rows = [], []
             titles = batch.column(2).to_pylist()
             for i, text in enumerate(batch.column(1).to_pylist()):
                 if text and (f := examine(text, titles[i], own, repair)).noisy:
                     at.append(i)
-                    rows.append((f.n_breaks, f.edits.misread + f.edits.codes, f.edits.specks, f.n_furniture, None if f.repaired is None else "\n\n".join(f.repaired)))
+                    rows.append((f.edits.hyphens, f.edits.misread + f.edits.codes, f.edits.specks, f.edits.furniture, None if f.repaired is None else "\n\n".join(f.repaired)))
             cols = list(zip(*rows)) or [()] * 5
             kinds = [pa.int32()] * 4 + [pa.string()]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, t) for c, t in zip(cols, kinds))], schema.names)

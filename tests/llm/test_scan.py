@@ -72,7 +72,7 @@ def test_one_sure_edit_is_enough(lex, right, wrong):
 def test_a_broken_word_of_two_usual_halves():
     lex = S.Lexicon({"key": 300, "word": 300, "keyword": 200, "the": 900, "is": 900, "here": 800}, 1000)
     found = S.examine("the key-\nword is here", None, lex)
-    assert (found.noisy, found.n_breaks, found.repaired) == (True, 1, ["the keyword is here"])
+    assert (found.noisy, found.edits.hyphens, found.repaired) == (True, 1, ["the keyword is here"])
     assert not S.examine("the key-\nhere is", None, lex).noisy
 
 
@@ -88,7 +88,7 @@ def test_lost_spaces_and_gained_ones_away_from_misread_characters(lex):
     noisy = noisy.replace("timer", "tirner").replace("session", "5ession").replace("column", "co1umn").replace("message", "messa9e")
     found = S.examine(noisy, None, lex)
     assert found.noisy and " ".join(found.repaired).split() == text.split()
-    assert S.decode("theserlal", S.Lexicon({"the": 90, "serial": 40}, 100), True)[0] == "the serial"
+    assert S.decode("theserlal", S.Lexicon({"the": 90, "serial": 40}, 100)).text == "the serial"
 
 
 @pytest.mark.parametrize("block", ["- {} -\nA GUIDE TO TIMERS", "Page {}\nA Guide to Timers", "A Guide to Timers    {}", "{} | A Guide to Timers", "[{}]\n\f", "{}"])
@@ -98,10 +98,65 @@ def test_running_heads(lex, block):
     at = next(i for i in range(2, len(lines)) if lines[i - 1] and lines[i] and not lines[i - 1].endswith(".") and lines[i][0].islower())
     noisy = "\n".join([*lines[:at], *block.format(41).split("\n"), *lines[at:]])
     found = S.examine(noisy, "A Guide to Timers", lex)
-    assert found.noisy and found.n_furniture
+    assert found.noisy and found.edits.furniture
     assert " ".join(" ".join(found.repaired).split()) == " ".join(text.split())
 
 
+@pytest.mark.parametrize("speck", [" | ", "~", " ^ ", " '"])
+def test_specks_alone(lex, speck):
+    text = clean(11)
+    noisy = text.replace("timer", f"ti{speck}mer", 1).replace("printer", f"prin{speck}ter", 1)
+    assert noisy != text
+    found = S.examine(noisy, None, lex)
+    assert found.noisy and found.edits.specks and found.repaired == text.split("\n\n")
+    between = S.examine(text.replace(" every ", " ~ every ", 1), None, lex)
+    assert between.noisy and between.repaired == text.split("\n\n")
+    assert not S.examine(text + "\n\nhome | about | contact | help | index\n\n| timer | 3 |\n", None, lex).noisy
+
+
+@pytest.mark.parametrize(
+    "pairs",
+    [(("calibrates every", "calibratesevery"), ("before the", "beforethe"), ("every keyboard", "everykeyboard")), (("keyboard", "key board"), ("timer", "ti mer"), ("calibrates", "cali brates"), ("message", "mes sage"))],
+)
+def test_lost_and_gained_spaces_alone(lex, pairs):
+    text = next(t for k in range(3000, 3400) if all(a in (t := clean(k)) for a, _ in pairs))
+    noisy = text
+    for a, b in reversed(pairs):
+        noisy = noisy.replace(a, b)
+    found = S.examine(noisy, None, lex)
+    assert found.noisy and " ".join(found.repaired).split() == text.split()
+
+
+def test_a_word_broken_across_page_furniture(lex):
+    text = "Every timer calibrates the session before the keyboard closes one message."
+    noisy = text.replace("calibrates", "cali-\n- 41 -\nA Guide to Timers\nbrates")
+    found = S.examine(noisy, "A Guide to Timers", lex)
+    assert found.repaired == [text] and (found.edits.hyphens, found.edits.furniture) == (1, 2)
+
+
+def test_a_head_of_any_length(lex):
+    head = "A Guide to Timers, " * 12 + "and more"
+    lines = wrapped(clean(9)).split("\n")
+    at = next(i for i in range(2, len(lines)) if lines[i - 1] and lines[i] and not lines[i - 1].endswith(".") and lines[i][0].islower())
+    found = S.examine("\n".join([*lines[:at], f"{head}    41", *lines[at:]]), head, lex)
+    assert found.noisy and " ".join(" ".join(found.repaired).split()) == " ".join(clean(9).split())
+
+
+def test_long_words_may_hold_more_edits():
+    lex = S.Lexicon({"internationalisation": 400, "the": 900}, 1000)
+    found = S.examine("the 1nternati0na1isation", None, lex)
+    assert found.noisy and found.repaired == ["the internationalisation"]
+    wide = "a" * 45
+    assert S.examine(f"the {wide[:20]}-\n{wide[20:]} the", None, S.Lexicon({wide: 40, "the": 900}, 1000)).repaired == [f"the {wide} the"]
+
+
+def test_beginnings_are_looked_up_in_the_sorted_words():
+    lex = S.Lexicon({"tim": 1, "timer": 5, "zebra": 2}, 10)
+    assert [lex.begins(w) for w in ("t", "tim", "time", "timers", "", "zebra", "zz")] == [True, True, True, False, True, True, False]
+    assert [lex.count(w) for w in ("timer", "tim", "ti", "zz")] == [5, 1, 0, 0]
+    assert S.lexicon_bound(150) == pytest.approx(225)  # MB, for 150 different words a page
+
+
 def test_paragraphs_keep_code_and_lists():
     text = "First line of some text that goes on\nand ends here.\n\n    if (a) {\n        b();\n    }\n\n- one\n- two\n\nSecond paragraph stands here and it is\nlong enough to be one."
     got = S.paragraphs(text.split("\n"))
