@@ -6,7 +6,9 @@ the leaves of a binary trie. The self-join walks pairs of nodes from the root do
 which the two sides differ, and gives a pair up as soon as that exceeds the error budget; the budget lies
 ``SIGMAS`` standard deviations above what the threshold gives. The forest of tries is spread over the
 cluster by locality-sensitive keys (its upper levels): two classes meet if they agree in one of ``BANDS`` pairs
-of minhash values. The word runs of the pairs that are left are compared exactly.
+of minhash values. At similarities far below one those keys do most of the work: within a key, of few members, the budget is used up
+only below the level at which the nodes are leaves. Pairs that are left are compared by 16 bits of each word run, which
+can only add to what two sets share, and those that this doesn't settle by their texts.
 """
 
 from __future__ import annotations
@@ -29,6 +31,10 @@ ROWS = 2
 SIGMAS = 4.5
 #: Members of a key walked as one trie; larger groups are walked in blocks of pairs of such parts.
 PART = 1024
+#: Share of the rows by which hot keys are looked for; this only spreads the work, no result depends on it.
+HOT_SAMPLE = 1 / 16
+#: The chance of a wrong verdict on a pair that is accepted without its texts.
+DOUBT = 1e-9
 #: Pairs of members, counted as group sizes squared, that are walked at once.
 FRONTIER = 1 << 20
 _OTHER_SPACES = re.compile("[\x0b\x1c-\x1f]")
@@ -111,13 +117,13 @@ def run_hashes(texts: list[str], width: int, ids: _WordIds) -> tuple[np.ndarray,
 
 
 def sketches(df: DataFrame, id_col: str, text_col: str, width: int, bands: int) -> DataFrame:
-    """(id, set_a, set_b, n, f0, f1, keys): the set's identity, its size, the fingerprint and the keys of the bands.
+    """(id, set_a, set_b, n, f0, f1, keys, runs): the set's identity, its size, the fingerprint, the keys of the bands and 16 bits of each run.
 
     Texts with no run of words (null, empty, fewer than ``width`` words) give no row.
     """
     kind = df.schema[id_col].dataType
     longs = ("set_a", "set_b", "n", "f0", "f1")
-    schema = T.StructType([T.StructField("id", kind), *(T.StructField(c, T.LongType()) for c in longs), T.StructField("keys", T.ArrayType(T.LongType()))])
+    schema = T.StructType([T.StructField("id", kind), *(T.StructField(c, T.LongType()) for c in longs), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("runs", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _WordIds()
@@ -142,7 +148,9 @@ def sketches(df: DataFrame, id_col: str, text_col: str, width: int, bands: int)
                 keys = np.stack([_mix((mins[2 * b].astype(np.uint64) << np.uint64(32) | mins[2 * b + 1]) ^ _BAND[b]) for b in range(bands)], axis=1)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(keys.reshape(-1).view(np.int64)))
                 cols = [pa.array(c.view(np.int64)) for c in (set_a, set_b, n, f0, f1)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), *cols, lists], schema.names)
+                short = (hashes >> np.uint64(48)).astype("<u2")  # the runs of a text are sorted, so these are too
+                bits16 = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(np.append(starts, len(hashes)).astype(np.int32) * 2), pa.py_buffer(short)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), *cols, lists, bits16], schema.names)
 
     return df.select(id_col, text_col).mapInArrow(run, schema)
 
@@ -216,7 +224,7 @@ def candidates(reps: DataFrame, budget: int, threshold: float) -> DataFrame:
     """(a, b), a < b: pairs of classes that a trie join finds, each once. ``reps``: (id, n, f0, f1, keys)."""
     kind = reps.schema["id"].dataType
     rows = reps.select("id", "n", "f0", "f1", F.explode("keys").alias("key"))
-    sizes = reps.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("members"))
+    sizes = reps.sample(HOT_SAMPLE, seed=5).select(F.explode("keys").alias("key")).groupBy("key").agg((F.count("*") / HOT_SAMPLE).alias("members"))
     hot = sizes.where(F.col("members") > PART).select("key", F.ceil(F.col("members") / PART).cast("int").alias("parts"))
     hot = materialise(hot, "hot-keys")
     if hot.limit(1).count():
@@ -276,12 +284,55 @@ def candidates(reps: DataFrame, budget: int, threshold: float) -> DataFrame:
     return rows.mapInArrow(run, schema).distinct()
 
 
+def shared(a: bytes, b: bytes) -> int:
+    """How many members two sorted lists of 16-bit numbers have in common, repeats counted."""
+    x, y = np.frombuffer(a, "<u2"), np.frombuffer(b, "<u2")
+    both = np.sort(np.concatenate([x.astype(np.uint32) << 1, (y.astype(np.uint32) << 1) | 1]), kind="stable")
+    value, side = both >> 1, both & 1
+    starts = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+    ones = np.add.reduceat(side, starts)
+    return int(np.minimum(ones, np.diff(np.append(starts, len(both))) - ones).sum())
+
+
+def chance_matches(na: int, nb: int, common: int) -> int:
+    """How many of the members in common may be so by chance, but for a probability of DOUBT."""
+    mean = max(0, na - common) * max(0, nb - common) / 65_536
+    term = total = math.exp(-mean)
+    k = 0
+    while 1 - total > DOUBT and k < common:
+        k += 1
+        term *= mean / k
+        total += term
+    return k
+
+
+def compared(pairs: DataFrame, prints: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, sure) of the pairs that can be as similar as the threshold: whether the 16 bits of each run settle it. ``prints``: (id, n, runs)."""
+    kind = pairs.schema["a"].dataType
+    both = pairs.join(prints.toDF("a", "n_a", "runs_a"), "a").join(prints.toDF("b", "n_b", "runs_b"), "b").select("a", "b", "n_a", "n_b", "runs_a", "runs_b")
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("sure", T.BooleanType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, sure = [], []
+            for i, (na, nb, x, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(2, 6)))):
+                common = shared(x, y)
+                if common >= threshold * (na + nb - common):
+                    at.append(i)
+                    least = common - chance_matches(na, nb, common)
+                    sure.append(least >= threshold * (na + nb - least))
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(sure, pa.bool_())], schema.names)
+
+    return both.mapInArrow(run, schema)
+
+
 def verified(pairs: DataFrame, texts: DataFrame, id_col: str, text_col: str, width: int, threshold: float) -> DataFrame:
-    """(a, b, jaccard) of the pairs whose sets of word runs are as similar as the threshold, by exact comparison."""
+    """(a, b) of the pairs whose sets of word runs are as similar as the threshold, by the texts themselves."""
     kind = pairs.schema["a"].dataType
     own = texts.select(F.col(id_col).alias("a"), F.col(text_col).alias("text_a"))
     both = pairs.join(own, "a").join(own.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
-    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("jaccard", T.DoubleType())])
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
 
     def runs(text: str) -> set[tuple[str, ...]]:
         words = words_of(text)
@@ -289,16 +340,14 @@ def verified(pairs: DataFrame, texts: DataFrame, id_col: str, text_col: str, wid
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, value = [], []
+            at = []
             for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
                 p, q = runs(x), runs(y)
                 common = len(p & q)
-                j = common / (len(p) + len(q) - common)
-                if j >= threshold:
+                if common >= threshold * (len(p) + len(q) - common):
                     at.append(i)
-                    value.append(j)
             rows = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(value, pa.float64())], schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], schema.names)
 
     return both.mapInArrow(run, schema)
 
@@ -307,7 +356,7 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float
     """(members, links) of the texts with a similarity of ``threshold`` or more.
 
     members (id, class_id): every text with at least ``width`` words and the least id of the texts with the same set
-    of word runs. links (a, b, jaccard): pairs of class ids, a < b. Null, empty and shorter texts, and rows without an id, are in neither.
+    of word runs. links (a, b): pairs of class ids, a < b. Null, empty and shorter texts, and rows without an id, are in neither.
     Ids must be integers; an id that comes twice with one text counts once.
     """
     bands, budget = bands_for(threshold), budget_for(threshold)
@@ -318,9 +367,11 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float
     reps = rows.join(members.where("id = class_id").select("id"), "id", "left_semi").dropDuplicates(["id"])
     reps = materialise(reps.select("id", "n", "f0", "f1", "keys"), "reps")
     pairs = materialise(candidates(reps, budget, threshold), "candidates")
-    named = materialise(pairs.select(F.col("a").alias(id_col)).union(pairs.select(F.col("b").alias(id_col))).distinct(), "named")
-    texts = df.select(id_col, text_col).join(named, id_col, "left_semi")
-    links = materialise(verified(pairs, texts, id_col, text_col, width, threshold).distinct(), "links")
+    named = lambda p: p.select(F.col("a").alias("id")).union(p.select(F.col("b").alias("id"))).distinct()
+    near = materialise(compared(pairs, rows.select("id", "n", "runs").join(materialise(named(pairs), "named"), "id", "left_semi").dropDuplicates(["id"]), threshold), "compared")
+    unsure = near.where("not sure").select("a", "b")
+    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(materialise(named(unsure), "unsure"), "id", "left_semi")
+    links = materialise(near.where("sure").select("a", "b").unionByName(verified(unsure, texts, "id", "text", width, threshold)).distinct(), "links")
     return members, links
 
 

@@ -52,9 +52,11 @@ def texts(seed, n=120):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "part"), [(1, N.PART), (2, 6)])
-def test_pairs_equal_brute_force(spark, monkeypatch, seed, part):
+@pytest.mark.parametrize(("seed", "part", "doubt"), [(1, N.PART, N.DOUBT), (2, 6, N.DOUBT), (3, 6, 0.0)])
+def test_pairs_equal_brute_force(spark, monkeypatch, seed, part, doubt):
     monkeypatch.setattr(N, "PART", part)  # the second case walks hot keys in blocks
+    monkeypatch.setattr(N, "HOT_SAMPLE", 0.9)
+    monkeypatch.setattr(N, "DOUBT", doubt)  # the third asks the texts of all pairs
     rows = texts(seed) + [(1000, None), (1001, ""), (1002, "a b"), (1003, "a b c"), (1004, "a  b\nc"), (1005, "a\x0bb c d"), (1006, "a b c d")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, body string, class_id int")
     members, links = N.near_duplicates(df, "page_id", "body")
@@ -67,6 +69,16 @@ def test_pairs_equal_brute_force(spark, monkeypatch, seed, part):
     assert groups[1003] == groups[1004] == 1003
 
 
+def test_sixteen_bits_of_each_run():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        a, b = (np.sort(rng.integers(0, 40, rng.integers(0, 60))).astype("<u2") for _ in range(2))
+        want = sum(min(int((a == v).sum()), int((b == v).sum())) for v in range(40))
+        assert N.shared(a.tobytes(), b.tobytes()) == want if len(a) + len(b) else True
+    assert N.chance_matches(100, 100, 100) == 0  # nothing is left that could match by chance
+    assert 2 <= N.chance_matches(150, 150, 100) <= 6 < N.chance_matches(4000, 4000, 3000)
+
+
 def test_empty_tables_and_ids(spark):
     df = spark.createDataFrame([(None, "a b c d"), (5, "a b c d"), (5, "a b c d"), (6, "a b c d")], "page_id long, body string")
     members, links = N.near_duplicates(df, "page_id", "body")
