@@ -8,6 +8,8 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,13 +56,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the setting is missing (a local run or a test) a temporary folder is made; it is
-    removed when the driver ends.
+    Only where the setting is missing in a local run a temporary folder is made; it is
+    removed when the driver ends. On a cluster the setting has to be there.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     sc = spark.sparkContext
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     own = getattr(sc, "_leafmill_shared", None)
     if own is None:
         own = tempfile.mkdtemp(prefix="leafmill-")
@@ -84,6 +88,25 @@ def drop_intermediates(spark: SparkSession) -> None:
         drop_path(spark, _made.pop())
 
 
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Removes the intermediate tables made within, once what is read from them has been written or collected."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        while len(_made) > before:
+            drop_path(spark, _made.pop())
+
+
+def drop_table(df: DataFrame) -> None:
+    """Remove one intermediate table that nothing reads any more."""
+    path = df._leafmill_path
+    if path in _made:
+        _made.remove(path)
+        drop_path(df.sparkSession, path)
+
+
 def materialise(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -91,8 +114,11 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
     the columns they need.
     """
     path = scratch_path(df.sparkSession, what)
+    ship_package(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._leafmill_path = path
+    return back
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

@@ -23,6 +23,20 @@ def html_pages(spark: SparkSession, folder: str) -> DataFrame:
     return pages.withColumns({"page_title": X.title_of(F.col("value")), "article": X.article_of(F.col("value")), **path_columns(F.col("path"))})
 
 
+def stored_files(spark: SparkSession, folder: str, pattern: str = r"(\d+)-(\d+)?[^/]*$", glob: str = "*.txt") -> DataFrame:
+    """A folder of very many small files as records: (file_id, store_path, page_id, piece_no, written_at, file_size, payload).
+
+    Page and piece are the groups of ``pattern`` in the path; where the second is missing the number is null. Ids are hashes of the path. A file of no bytes
+    is no record. Many files go into one task: Spark packs them by ``spark.sql.files.openCostInBytes``, so set that low (64 KB) for files of some KB.
+    """
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(folder)
+    part = lambda k: F.nullif(F.regexp_extract("path", pattern, k), F.lit(""))
+    return raw.select(
+        F.xxhash64("path").alias("file_id"), F.col("path").alias("store_path"), part(1).cast("long").alias("page_id"), part(2).cast("int").alias("piece_no"),
+        F.col("modificationTime").alias("written_at"), F.col("length").alias("file_size"), F.col("content").cast("string").alias("payload"),
+    )
+
+
 def markdown_pages(spark: SparkSession, folder: str) -> DataFrame:
     pages = whole_files(spark, folder, "*.md")
     parts = X.front_matter(F.col("value"))

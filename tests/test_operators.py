@@ -108,6 +108,59 @@ def test_compact_keeps_each_record_once(spark, tmp_path):
     assert C.compact(nameless, out, target_bytes=4, **ARGS, **AT).rows_written == 11
 
 
+def test_compact_thousands_of_real_files(spark, tmp_path):
+    from leafmill.sources.readers import stored_files
+
+    src, rng = tmp_path / "store", random.Random(4)
+    want = {}
+    for page in range(120):
+        folder = src / f"{page % 7}" / "deep"
+        folder.mkdir(parents=True, exist_ok=True)
+        for piece in range(25):
+            text = f"größe {page} {piece} " + "x" * rng.randint(0, 60)
+            want[page, piece] = text
+            (folder / f"{page}-{piece}.txt").write_text(text, encoding="utf-8")
+            if piece % 9 == 0:
+                (folder / f"{page}-{piece}-again.txt").write_text(text, encoding="utf-8")
+        (folder / f"{page}-.txt").write_text(want[page, 3], encoding="utf-8")  # a retry that lost its number
+    out = str(tmp_path / "out")
+    spark.conf.set("spark.sql.files.openCostInBytes", "65536")
+    got = C.compact(stored_files(spark, str(src)), out, target_bytes=30_000, **ARGS, at="written_at")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert (got.rows_read, got.rows_written) == (120 * 29, 120 * 25)
+    assert len([f for f in os.listdir(out) if f.startswith("part")]) == got.ranges < 10
+    assert {(r["page_id"], r["piece_no"]): r["payload"] for r in spark.read.parquet(out).collect()} == want
+
+
+@pytest.mark.parametrize("state", ["new is checked", "old aside, new is checked", "new is checked, old stays", "new is a part", "old aside alone", "old beside"])
+def test_interrupted_swaps(spark, tmp_path, state):
+    path = str(tmp_path / "t")
+    write = lambda name, v, done=False: (spark.range(v, v + 1).write.parquet(name), done and open(f"{name}/{C.CHECKED}", "w").close())
+    if "checked" in state or "part" in state:
+        write(f"{path}.new", 2, "checked" in state)
+    if not state.startswith("old aside"):
+        write(path, 1)
+    if state.startswith("old aside") or "old stays" in state or "beside" in state:
+        write(f"{path}.old", 0 if "old a" not in state else 1)
+    C.recover(spark, path)
+    assert [r["id"] for r in spark.read.parquet(path).collect()] == [2 if "checked" in state else 1]
+    assert os.listdir(tmp_path) == ["t"]
+
+
+def test_rows_are_read_twice(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(3000).selectExpr("id as file_id", "id % 50 as page_id", "cast(id as int) as piece_no", "cast(id as string) as payload", "0 as range_no", "'' as content_bytes")
+    df = df.mapInArrow(count, df.schema)
+    C.compact(df, str(tmp_path / "out"), target_bytes=2000, **ARGS, **AT)
+    assert seen.value <= 2 * 3000
+
+
 def test_verify_stored(spark):
     receipts = spark.createDataFrame([("a", 1, "AA"), ("b", 2, "bb"), ("c", None, None), ("d", 4, "dd"), (None, 1, "x")], "stored_path string, n_bytes long, sha256_hex string")
     files = spark.createDataFrame([("a", 1, "aa"), ("b", 3, "bb"), ("c", 9, "cc")], "path string, n_bytes long, sha256_hex string")
