@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(app: str = "leafmill", cpus: int = 8, memory: str = "8g") -> SparkSession:
@@ -88,6 +89,15 @@ def drop_intermediates(spark: SparkSession) -> None:
         drop_path(spark, _made.pop())
 
 
+#: Rows of at most that many ids are sent to all executors: some 100 MB there.
+SENT_ROWS = 4_000_000
+
+
+def sent_if_small(ids: DataFrame) -> DataFrame:
+    """A written table of one id column, marked for a broadcast if its counted rows are few enough; a shuffle join serves else."""
+    return F.broadcast(ids) if ids.count() <= SENT_ROWS else ids
+
+
 @contextmanager
 def intermediates(spark: SparkSession) -> Iterator[None]:
     """Removes the intermediate tables made within, once what is read from them has been written or collected."""
