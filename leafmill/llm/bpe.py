@@ -11,6 +11,7 @@ vocabulary entry later (the bounded lookahead).
 from __future__ import annotations
 
 import base64
+import os
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -18,10 +19,11 @@ from itertools import chain
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from leafmill.session import tokenizer_folder
+from leafmill.session import ship_package, tokenizer_folder
 
 # The pre-tokenizing pattern that belongs to the byte_bpe_50k vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -242,8 +244,18 @@ def decode_stream(pieces: Iterable[bytes]) -> Iterator[str]:
 
 @lru_cache(maxsize=4)
 def encoder(name: str = "byte_bpe_50k", folder: str | None = None) -> Encoder:
-    """One encoder for each vocabulary in each worker."""
-    return Encoder(f"{folder or tokenizer_folder()}/{name}.tiktoken")
+    """One encoder for each vocabulary in each worker; the file is the one that was shipped, if the folder isn't there."""
+    path = f"{folder or tokenizer_folder()}/{name}.tiktoken"
+    return Encoder(path if os.path.exists(path) else SparkFiles.get(f"{name}.tiktoken"))
+
+
+def ship_vocabulary(spark: SparkSession, name: str, folder: str) -> None:
+    """Send the vocabulary's file to all executors, once a Spark context, so that only the driver needs the folder; and this package."""
+    ship_package(spark)
+    path = f"{folder}/{name}.tiktoken"
+    if path not in (sent := spark.sparkContext.__dict__.setdefault("_leafmill_sent", set())):
+        spark.sparkContext.addFile(path)
+        sent.add(path)
 
 
 def encode_column(df: DataFrame, id_col: str, text_col: str, out: str = "ids", name: str = "byte_bpe_50k", folder: str | None = None) -> DataFrame:
@@ -253,6 +265,7 @@ def encode_column(df: DataFrame, id_col: str, text_col: str, out: str = "ids", n
     Special tokens' strings are ordinary text. A narrow operation: no shuffle, batches through Arrow.
     """
     folder = folder or tokenizer_folder()
+    ship_vocabulary(df.sparkSession, name, folder)
     schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField(out, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,6 +286,7 @@ def encode_column(df: DataFrame, id_col: str, text_col: str, out: str = "ids", n
 def count_column(df: DataFrame, id_col: str, text_col: str, out: str = "n_tokens", name: str = "byte_bpe_50k", folder: str | None = None) -> DataFrame:
     """(id, number of tokens) for every row; 0 for null and empty texts."""
     folder = folder or tokenizer_folder()
+    ship_vocabulary(df.sparkSession, name, folder)
     schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField(out, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

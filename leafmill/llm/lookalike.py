@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leafmill.session import materialise
+from leafmill.session import materialise, ship_package
 
 # Letters that look like the letter (first of each pair) in another alphabet or form.
 TWINS = {
@@ -189,6 +189,7 @@ def forms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     Null stays null with zero counts, an empty text stays empty, repeated rows stay repeated. No shuffle.
     """
+    ship_package(df.sparkSession)
     kind = df.schema[id_col].dataType
     schema = T.StructType([T.StructField(id_col, kind), T.StructField("form", T.StringType()), T.StructField("n_mixed", T.IntegerType()), T.StructField("n_whole", T.IntegerType())])
 
@@ -203,6 +204,7 @@ def forms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _digests(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    ship_package(df.sparkSession)
     kind = df.schema[id_col].dataType
     schema = T.StructType([T.StructField("id", kind), T.StructField("look", T.BinaryType()), T.StructField("own", T.BinaryType())])
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leafmill.session import materialise
+from leafmill.session import drop_table, materialise, sent_if_small, ship_package
 
 BITS = 128
 ROWS = 2
@@ -121,6 +121,7 @@ def sketches(df: DataFrame, id_col: str, text_col: str, width: int, bands: int)
 
     Texts with no run of words (null, empty, fewer than ``width`` words) give no row.
     """
+    ship_package(df.sparkSession)
     kind = df.schema[id_col].dataType
     longs = ("set_a", "set_b", "n", "f0", "f1")
     schema = T.StructType([T.StructField("id", kind), *(T.StructField(c, T.LongType()) for c in longs), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("runs", T.BinaryType())])
@@ -364,13 +365,16 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float
     rows = materialise(sketches(df, id_col, text_col, width, bands), "sketches")
     classes = rows.groupBy("set_a", "set_b").agg(F.min("id").alias("class_id"))
     members = materialise(rows.select("id", "set_a", "set_b").join(classes, ["set_a", "set_b"]).select("id", "class_id").distinct(), "members")
-    reps = rows.join(members.where("id = class_id").select("id"), "id", "left_semi").dropDuplicates(["id"])
-    reps = materialise(reps.select("id", "n", "f0", "f1", "keys"), "reps")
+    once = (lambda x: x) if rows.count() == members.count() else (lambda x: x.dropDuplicates(["id"]))  # rows given twice
+    copies = materialise(members.where("id <> class_id").select("id"), "copies")
+    reps = once(rows.join(sent_if_small(copies), "id", "left_anti").select("id", "n", "f0", "f1", "keys"))
+    reps = materialise(reps, "reps")
     pairs = materialise(candidates(reps, budget, threshold), "candidates")
     named = lambda p: p.select(F.col("a").alias("id")).union(p.select(F.col("b").alias("id"))).distinct()
-    near = materialise(compared(pairs, rows.select("id", "n", "runs").join(materialise(named(pairs), "named"), "id", "left_semi").dropDuplicates(["id"]), threshold), "compared")
+    prints = once(rows.select("id", "n", "runs").join(sent_if_small(materialise(named(pairs), "named")), "id", "left_semi"))
+    near = materialise(compared(pairs, prints, threshold), "compared")
     unsure = near.where("not sure").select("a", "b")
-    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(materialise(named(unsure), "unsure"), "id", "left_semi")
+    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(sent_if_small(materialise(named(unsure), "unsure")), "id", "left_semi")
     links = materialise(near.where("sure").select("a", "b").unionByName(verified(unsure, texts, "id", "text", width, threshold)).distinct(), "links")
     return members, links
 
@@ -393,13 +397,18 @@ def groups_of(members: DataFrame, links: DataFrame, rounds: int = 50) -> DataFra
     degree = both.groupBy("a").agg(F.count("*").alias("n_links"))
     labels = materialise(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")), "labels")
     both = materialise(both, "edges")
+    last = None
     for _ in range(rounds):
         near = both.join(labels.toDF("b", "near"), "b").groupBy("a").agg(F.min("near").alias("near"))
         jump = labels.toDF("label", "further")
         step = labels.join(near, "a").join(jump, "label", "left")
-        new = materialise(step.select("a", F.least("label", "near", "further").alias("label"), F.col("label").alias("old")), "labels")
+        before, new = labels, materialise(step.select("a", F.least("label", "near", "further").alias("label"), F.col("label").alias("old")), "labels")
         moved = new.where("label <> old").limit(1).count()
-        labels = new.select("a", "label")
+        if hasattr(before, "_leafmill_path"):
+            drop_table(before)
+        elif last is not None:
+            drop_table(last)
+        labels, last = new.select("a", "label"), new
         if not moved:
             break
     else:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leafmill.llm.bpe import encoder
+from leafmill.llm.bpe import encoder, ship_vocabulary
 from leafmill.session import materialise, tokenizer_folder
 
 
@@ -88,6 +88,7 @@ def items(df: DataFrame, id_col: str, text_col: str, capacity: int, name: str =
     size before it in its own partition.
     """
     folder = folder or tokenizer_folder()
+    ship_vocabulary(df.sparkSession, name, folder)
     kind = df.schema[id_col].dataType
     schema = T.StructType([T.StructField(id_col, kind), *(T.StructField(c, T.LongType()) for c in ("first_piece", "n_pieces", "item_size", "part", "local_rank", "n_tokens"))])
 
@@ -147,4 +148,5 @@ def pack(df: DataFrame, id_col: str, text_col: str, capacity: int, name: str = "
                 container = np.where(s > 0, a[:, 2] + (rank - a[:, 1]) // np.maximum(1, a[:, 4]), container)
             yield pa.RecordBatch.from_arrays([batch.column(id_col).take(pa.array(row)), pa.array(first_piece[row] + step), pa.array(s), pa.array(container), pa.array(tokens[row])], schema.names)
 
-    return own.join(before, ["part", "item_size"]).select(id_col, "first_piece", "n_pieces", "item_size", "local_rank", "before", "n_tokens").mapInArrow(run, schema)
+    # Rows by partitions times sizes: not to be sent to all executors, however many partitions there are.
+    return own.join(before.hint("merge"), ["part", "item_size"]).select(id_col, "first_piece", "n_pieces", "item_size", "local_rank", "before", "n_tokens").mapInArrow(run, schema)

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leafmill.session import ship_package
+
 #: Boundaries from the strongest to the weakest; a cut lies at the end of a match.
 BOUNDARIES = tuple(
     re.compile(p)
@@ -110,6 +112,7 @@ def pieces(df: DataFrame, id_col: str, text_col: str, limit: int, overlap: int)
     A text within the limit, also an empty one, is one piece; a null text gives no row. Repeated rows are cut
     each on its own; an empty table gives no rows. A narrow operation without a shuffle.
     """
+    ship_package(df.sparkSession)
     kind = df.schema[id_col].dataType
     schema = T.StructType([T.StructField(id_col, kind), T.StructField("piece_no", T.IntegerType()), T.StructField("start_at", T.LongType()), T.StructField("n_repeated", T.IntegerType()), T.StructField("piece", T.StringType())])
 

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leafmill.session import ship_package
+
 #: A word is in the lexicon if at least this share of the pages has it; so the lexicon has at most the mean
 #: number of different words of a page divided by it, whatever the number of pages.
 SHARE = 5e-5
@@ -668,6 +670,7 @@ def scan_noise(df: DataFrame, id_col: str, text_col: str, title_col: str | None
     those without noise give no row; repeated rows are judged each by itself; an empty table gives no rows.
     """
     spark = df.sparkSession
+    ship_package(spark)
     words, pages = lexicon_of(df, text_col)
     held = spark.sparkContext.broadcast((words, pages))  # bounded by SHARE
     kind = df.schema[id_col].dataType
