@@ -27,9 +27,18 @@ def build(spark, source: str, base: str) -> None:
 def check(spark, source: str, base: str) -> int:
     """How many inputs differ from those the knowledge base was built of; each is printed."""
     changed = sinks.stale(spark.read.parquet(f"{base}/manifest"), sinks.manifest(spark, source))
+    n = 0
     for row in changed.orderBy("path").toLocalIterator():
         print(row["change"], row["path"], sep="\t")
-    return changed.count()
+        n += 1
+    return n
+
+
+def show(answer) -> None:
+    """Every row of an answer, tab-separated, a partition at a time; the driver never holds it whole."""
+    print(*answer.columns, sep="\t")
+    for row in answer.toLocalIterator():
+        print(*("" if v is None else str(v).replace("\\", "\\\\").replace("\t", "\\t").replace("\n", "\\n") for v in row), sep="\t")
 
 
 def wrap(spark, title: str, body: str, front: str, out: str) -> None:
@@ -65,8 +74,8 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "check":
         return int(check(spark, a.source, a.base) > 0)
     elif a.command == "query":
-        readers.knowledge_base(spark, a.base, [p.name for p in Path(a.base).iterdir() if p.is_dir()])
-        spark.sql(a.sql).show(1000, truncate=False)
+        readers.knowledge_base(spark, a.base)
+        show(spark.sql(a.sql))
     elif a.command == "export":
         sinks.export(spark.read.parquet(f"{a.base}/{a.table}"), a.path, a.format)
     else:

@@ -61,10 +61,7 @@ def strip_scripts(html: Column) -> Column:
 
 def strip_tags(html: Column) -> Column:
     """Text without scripts, comments and tags; entities decoded, the ampersand last."""
-    text = F.regexp_replace(strip_scripts(html), r"<[^>]+>", "")
-    for entity, raw in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(raw))
-    return text
+    return decode_entities(F.regexp_replace(strip_scripts(html), r"<[^>]+>", ""))
 
 
 def collapse_spaces(c: Column) -> Column:
@@ -77,13 +74,34 @@ def normal_label(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.trim(c)), r"\s*:\s*$", ""))
 
 
+def decode_entities(c: Column) -> Column:
+    for entity, raw in ENTITIES:
+        c = F.replace(c, F.lit(entity), F.lit(raw))
+    return c
+
+
 def requirement_rows(html: Column) -> Column:
-    """array of (label, value) from table rows of two cells; empty cells stay empty, they aren't null."""
-    rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr[^>]*>(.*?)</tr\s*>"), 1)
-    cell = lambda row, k: F.trim(F.regexp_replace(F.coalesce(F.get(F.regexp_extract_all(row, F.lit(r"(?is)<t[dh][^>]*>(.*?)(?:</t[dh]\s*>|$)"), 1), F.lit(k)), F.lit("")), r"(?s)<[^>]+>|\s+", " "))
+    """array of (label, value) from table rows of two cells; empty cells stay empty, they aren't null. A row ends where the next begins, too."""
+    rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr\b[^>]*>(.*?)(?=</tr\b|<tr\b|</table\b|\z)"), 1)
+    cell = lambda row, k: decode_entities(F.regexp_replace(F.coalesce(F.get(F.regexp_extract_all(row, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)(?=</t[dh]\b|<t[dh]\b|\z)"), 1), F.lit(k)), F.lit("")), r"(?s)<[^>]+>|\s+", " "))
     return F.transform(rows, lambda r: F.struct(normal_label(cell(r, 0)).alias("label"), collapse_spaces(cell(r, 1)).alias("value")))
 
 
+def row_value(rows: Column, labels: list[str]) -> Column:
+    """The value of the first of some (label, value) rows with one of the labels; null if there is none."""
+    return F.get(F.filter(rows, lambda r: r["label"].isin(*labels)), F.lit(0))["value"]
+
+
+def page_fields(html: Column) -> Column:
+    """struct(title, signature, runs_on, versions, header, link) of a reference page."""
+    rows = requirement_rows(html)
+    signature = collapse_spaces(decode_entities(F.regexp_replace(F.regexp_extract(html, r"(?is)<pre\b[^>]*>(.*?)</pre\s*>", 1), r"<[^>]+>", "")))
+    return F.struct(
+        title_of(html).alias("title"), signature.alias("signature"), row_value(rows, ["runs on", "platform"]).alias("runs_on"), row_value(rows, ["versions", "version"]).alias("versions"),
+        row_value(rows, ["defined in", "declared in", "header"]).alias("header"), row_value(rows, ["link to", "link library", "library"]).alias("link"),
+    )
+
+
 def markdown_rows(md: Column) -> Column:
     """array of (label, value) from ``| label | value |`` lines, rules and head lines aside."""
     lines = F.filter(F.split(md, r"\r?\n"), lambda x: x.rlike(r"^\s*\|.*\|.*\|\s*$") & ~x.rlike(r"^[\s|:\-]+$"))

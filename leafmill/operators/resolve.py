@@ -72,7 +72,8 @@ def reviewed_headers(names: DataFrame, name: str, value: str, reviews: DataFrame
     """(name, header_file, scope, verdict): for each name the review that holds.
 
     A review of the name beats one of a prefix, of which the longest wins, and that beats one of the value's base (the
-    multiple of ``base_width`` at or below it). Among equals ``prefer`` beats ``approve`` beats ``reject``, then the header's name.
+    multiple of ``base_width`` at or below it). A ``reject`` holds as well and is returned as such: it says that the header is not the name's, and hides what wider
+    scopes say; ask for ``verdict <> 'reject'`` to get headers only. Among equals ``prefer`` beats ``approve`` beats ``reject``, then the header's name.
     """
     own = names.select(F.col(name).alias("name"), F.col(value).alias("value")).distinct()
     r = reviews.select("review_scope", "review_key", "header_file", "verdict")
@@ -92,6 +93,16 @@ def unprinted(reviews: DataFrame, printed: DataFrame, keys: list[str]) -> DataFr
     return reviews.join(printed.select(*keys).distinct(), keys, "left_anti")
 
 
+def not_allowed(pages: DataFrame, allowed: DataFrame, keys: list[str]) -> DataFrame:
+    """Pages that no entry of an allowlist covers; the policy check holds if there are none. Null keys are not covered."""
+    return pages.join(allowed.select(*keys).distinct(), keys, "left_anti")
+
+
+def without_evidence(reviews: DataFrame, page: str) -> DataFrame:
+    """Reviews that name no page as evidence."""
+    return reviews.where(F.trim(F.coalesce(page, F.lit(""))) == "")
+
+
 def suffix_pairs(symbols: DataFrame, name: str) -> DataFrame:
     """(base, wide, narrow): names that differ only in a W or A at the end, both of them given."""
     wide = symbols.where(F.col(name).rlike("[a-z0-9]W$")).select(F.expr(f"substring({name}, 1, length({name}) - 1)").alias("base"), F.col(name).alias("wide"))

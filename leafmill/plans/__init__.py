@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from leafmill.plans import knowledge, storage
+from leafmill.plans import fields, knowledge, storage
 
-MODULES = (knowledge, storage)
+MODULES = (knowledge, fields, storage)
 
 
 def all_queries() -> dict[str, Callable]:

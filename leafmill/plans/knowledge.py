@@ -205,13 +205,6 @@ def k_headers(spark: SparkSession, d: str) -> DataFrame:
     return T(spark, d, "api_symbol").where("header_file is not null").select("symbol", X.header_parts(F.col("header_file"))["header"].alias("header"))
 
 
-@query("""SELECT substr(a.symbol, 1, length(a.symbol) - 1) AS base, a.symbol AS wide, b.symbol AS narrow FROM api_symbol a JOIN api_symbol b
-    ON substr(a.symbol, 1, length(a.symbol) - 1) = substr(b.symbol, 1, length(b.symbol) - 1)
-    WHERE regexp_matches(a.symbol, '[a-z0-9]W$') AND regexp_matches(b.symbol, '[a-z0-9]A$')""")
-def k_suffix_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return R.suffix_pairs(T(spark, d, "api_symbol"), "symbol")
-
-
 @query("""SELECT DISTINCT lower(header_file) AS header, symbol, count(*) OVER (PARTITION BY lower(header_file)) AS n_names FROM
     (SELECT DISTINCT lower(header_file) AS header_file, symbol FROM api_symbol WHERE header_file IS NOT NULL)""")
 def k_header_names(spark: SparkSession, d: str) -> DataFrame:

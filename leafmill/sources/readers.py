@@ -19,7 +19,11 @@ def whole_files(spark: SparkSession, folder: str, glob: str = "*.{htm,HTM,html,H
 
 def html_pages(spark: SparkSession, folder: str) -> DataFrame:
     """HTML pages with doc set and file name from the path; declared charsets are ignored, the files are UTF-8."""
-    pages = whole_files(spark, folder)
+    return parsed_html(whole_files(spark, folder))
+
+
+def parsed_html(pages: DataFrame) -> DataFrame:
+    """Title, article, folder, doc set and file name of pages (path, value)."""
     return pages.withColumns({"page_title": X.title_of(F.col("value")), "article": X.article_of(F.col("value")), **path_columns(F.col("path"))})
 
 
@@ -38,14 +42,22 @@ def stored_files(spark: SparkSession, folder: str, pattern: str = r"(\d+)-(\d+)?
 
 
 def markdown_pages(spark: SparkSession, folder: str) -> DataFrame:
-    pages = whole_files(spark, folder, "*.md")
+    return parsed_markdown(whole_files(spark, folder, "*.md"))
+
+
+def parsed_markdown(pages: DataFrame) -> DataFrame:
+    """(path, front, lists, body) of pages (path, value)."""
     parts = X.front_matter(F.col("value"))
     return pages.select("path", parts["front"].alias("front"), parts["lists"].alias("lists"), parts["body"].alias("body"))
 
 
 def articles(spark: SparkSession, folder: str, glob: str = "*.{txt,TXT}") -> DataFrame:
     """Plain-text articles in Windows-1252: decoded, line ends made one, lower-case names, first line as title, wrapped in a pre element."""
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(folder)
+    return parsed_articles(spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(folder))
+
+
+def parsed_articles(raw: DataFrame) -> DataFrame:
+    """(path, file_name, title, body, html) of files (path, content)."""
     body = F.regexp_replace(X.decode_western(F.col("content")), r"\r\n?", "\n")
     name = F.lower(F.element_at(F.split("path", "/"), -1))
     title = F.trim(F.regexp_extract(body, r"\A\s*([^\n]*)", 1))
@@ -72,7 +84,11 @@ def good_pages(pages: DataFrame, path: str, title: str, value: str, refused: tup
 
 def receipts(spark: SparkSession, folder: str, glob: str = "*.md") -> DataFrame:
     """Probe receipts: the ``- key: value`` list as a map and the links of the list after the second heading."""
-    files = whole_files(spark, folder, glob)
+    return parsed_receipts(whole_files(spark, folder, glob))
+
+
+def parsed_receipts(files: DataFrame) -> DataFrame:
+    """(path, fields, links) of receipts (path, value)."""
     pattern = r"(?m)^- ([\w -]+): (.*)$"
     entries = F.arrays_zip(F.regexp_extract_all("value", F.lit(pattern), 1).alias("k"), F.regexp_extract_all("value", F.lit(pattern), 2).alias("v"))
     fields = F.aggregate(entries, F.expr("cast(map() as map<string,string>)"), lambda m, e: F.map_concat(F.map_filter(m, lambda k, _: k != e["k"]), F.create_map(e["k"], F.trim(e["v"]))))
@@ -82,19 +98,32 @@ def receipts(spark: SparkSession, folder: str, glob: str = "*.md") -> DataFrame:
 
 def capture_index(spark: SparkSession, path: str) -> DataFrame:
     """One row a capture from JSON arrays whose first row is the header; an empty index gives no rows."""
-    raw = spark.read.text(path, wholetext=True)
+    return parsed_captures(spark.read.text(path, wholetext=True))
+
+
+def parsed_captures(raw: DataFrame) -> DataFrame:
+    """(capture), a map, of JSON arrays (value)."""
     return raw.select(F.explode(X.zip_header(F.col("value"))).alias("capture"))
 
 
 def availability(spark: SparkSession, path: str) -> DataFrame:
     """(url, archived_snapshots) of availability answers; an empty object is an empty map."""
+    return parsed_availability(spark.read.text(path, wholetext=True))
+
+
+def parsed_availability(raw: DataFrame) -> DataFrame:
+    """(url, archived_snapshots) of answers (value)."""
     shape = "url string, archived_snapshots map<string, struct<status: string, available: boolean, url: string, timestamp: string>>"
-    return spark.read.text(path, wholetext=True).select(F.from_json("value", shape).alias("a")).select("a.*")
+    return raw.select(F.from_json("value", shape).alias("a")).select("a.*")
 
 
 def source_lines(spark: SparkSession, folder: str, glob: str = "*.{cs,h,def}") -> DataFrame:
     """(path, line_no, line) of all lines of source members, counted from 1."""
-    files = whole_files(spark, folder, glob)
+    return split_lines(whole_files(spark, folder, glob))
+
+
+def split_lines(files: DataFrame) -> DataFrame:
+    """(path, line_no, line) of texts (path, value)."""
     return files.select("path", F.posexplode(F.split("value", r"\r?\n")).alias("n", "line")).select("path", (F.col("n") + 1).alias("line_no"), "line")
 
 
@@ -112,7 +141,14 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def knowledge_base(spark: SparkSession, folder: str, names: list[str]) -> None:
-    """Each named table of a knowledge base as a temporary view, open to ``spark.sql``."""
-    for name in names:
+def table_names(spark: SparkSession, folder: str) -> list[str]:
+    """The tables of a knowledge base: its folders, on whatever file system."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in fs.listStatus(at) if x.isDirectory())
+
+
+def knowledge_base(spark: SparkSession, folder: str, names: list[str] | None = None) -> None:
+    """Each named table (all, if none are) of a knowledge base as a temporary view, open to ``spark.sql``."""
+    for name in names or table_names(spark, folder):
         spark.read.parquet(f"{folder}/{name}").createOrReplaceTempView(name)

@@ -34,8 +34,12 @@ def summary_lines(counts: DataFrame) -> DataFrame:
 
 
 def write_pages(df: DataFrame, folder: str, out_path: str, html: str) -> None:
-    """Each page as a text under a folder of its own path, so that the names stay; parent folders come by themselves."""
-    df.select(F.regexp_replace(out_path, r"[^\w./-]", "_").alias("page"), F.col(html).alias("value")).write.mode("overwrite").partitionBy("page").text(folder)
+    """Each page as a text in a folder ``page=`` of its own path, encoded so that no two paths have one name (``url_decode`` gives it back).
+
+    The rows are range-partitioned by path, so that a task writes its folders one after the other.
+    """
+    pages = df.select(F.url_encode(out_path).alias("page"), F.col(html).alias("value"))
+    pages.repartitionByRange("page").write.mode("overwrite").partitionBy("page").text(folder)
 
 
 def append_log(df: DataFrame, path: str, line: str) -> None:
@@ -48,6 +52,18 @@ def name_lists(df: DataFrame, path: str, header: str, name: str, layer: str, lef
     kept.orderBy(header, name).select(F.concat_ws("\t", header, name).alias("value")).write.mode("overwrite").text(path)
 
 
+def define_files(df: DataFrame, folder: str, header: str, name: str, value: str, layer: str, left_out: str) -> None:
+    """An include file a header, in a folder ``header=``: a guard, a ``#define`` a name in order of names, an end; a layer is left out.
+
+    Lines are sorted on their way to the files and never gathered.
+    """
+    kept = df.where(F.col(layer).isNull() | (F.lower(F.trim(layer)) != left_out)).select(F.col(header).alias("header"), F.col(name).alias("name"), F.col(value).alias("v")).distinct()
+    body = kept.select("header", F.lit(1).alias("part"), "name", F.concat(F.lit("#define "), "name", F.lit(" "), "v").alias("value"))
+    ends = kept.select("header").distinct().select("header", F.explode(F.array(F.struct(F.lit(0).alias("part"), F.lit("#pragma once").alias("value")), F.struct(F.lit(2).alias("part"), F.lit("// end").alias("value")))).alias("e"))
+    lines = body.unionByName(ends.select("header", "e.part", F.lit("").alias("name"), "e.value"))
+    lines.repartitionByRange("header").sortWithinPartitions("header", "part", "name", "value").select("header", "value").write.mode("overwrite").partitionBy("header").text(folder)
+
+
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
     """(path, n_bytes, sha256_hex) of all files under a folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
