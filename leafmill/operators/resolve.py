@@ -6,10 +6,14 @@ different values.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leafmill.functions.text import numeric_literal
 from leafmill.session import free_name, materialise
@@ -113,22 +117,40 @@ def suffix_pairs(symbols: DataFrame, name: str) -> DataFrame:
 def collapse_runs(df: DataFrame, group: str, order: list[str], value: str) -> DataFrame:
     """Of each run of equal values within a group, in order, the first row (not a global distinct).
 
-    The rows are range-partitioned by group and order and written once, so a group that holds a large part of all rows is spread
-    over many partitions; what ends one partition is carried into the next by a table of one row a partition.
+    The rows are range-partitioned by group and order, so that a group that holds a large part of all rows is spread over many
+    partitions, and collapsed there, before anything is written. What ends one partition is carried into the next by a table of one
+    row a partition. Nulls are a value of their own; values are compared by 64 bits of their hash.
     """
-    part, before, first = (free_name(df.columns, x) for x in ("part_no", "value_before", "is_first"))
+    part, edge, last, own, what, g, v = (free_name(df.columns, x) for x in ("part_no", "is_edge", "is_last", "group_hash", "value_hash", "group_before", "value_before"))
     keys = [F.col(group), *map(F.col, order)]
-    rows = df.repartitionByRange(*keys).withColumn(part, F.spark_partition_id())
-    rows = materialise(rows, "ranges")
-    w = Window.partitionBy(part, group).orderBy(*order)
-    marked = rows.withColumn(before, F.lag(value).over(w)).withColumn(first, F.row_number().over(w) == 1)
-    last = rows.groupBy(part).agg(F.max(F.struct(*keys, F.col(value).alias("last_value"))).alias("last"))
-    ends = last.withColumn("last", F.lag("last").over(Window.orderBy(part)))  # rows by partitions
-    ends = ends.select(part, F.col(f"last.{group}").alias("last_group"), F.col("last.last_value").alias("last_value"), F.col("last").isNotNull().alias("has_last"))
-    joined = marked.join(ends, part, "left")
-    carried = F.col(first) & F.col("has_last") & F.equal_null(F.col("last_group"), F.col(group))
-    same = F.when(carried, F.equal_null(F.col("last_value"), F.col(value))).otherwise(~F.col(first) & F.equal_null(F.col(before), F.col(value)))
-    return joined.where(~same).select(*(F.col(f"`{c}`") for c in df.columns))
+    rows = df.withColumns({own: F.xxhash64(group), what: F.xxhash64(value)}).repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(part, F.spark_partition_id())
+    names = [*df.columns, own, what, part]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, tail = None, None
+        flagged = lambda b, e, x: pa.RecordBatch.from_arrays([*b.columns, pa.array(e), pa.array(x)], [*names, edge, last])
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            g, v = batch.column(own).to_numpy(), batch.column(what).to_numpy()
+            starts = np.ones(n, bool)
+            starts[1:] = (g[1:] != g[:-1]) | (v[1:] != v[:-1])
+            starts[0] = before != (g[0], v[0])
+            edges = np.zeros(n, bool)
+            edges[0] = before is None
+            before, tail = (g[-1], v[-1]), batch.slice(n - 1, 1)
+            yield flagged(batch.filter(pa.array(starts)), edges[starts], np.zeros(starts.sum(), bool))
+        if tail is not None:
+            yield flagged(tail, [False], [True])
+
+    schema = T.StructType([*rows.schema.fields, T.StructField(edge, T.BooleanType()), T.StructField(last, T.BooleanType())])
+    runs = materialise(rows.mapInArrow(run, schema), "runs")
+    ends = runs.where(F.col(last)).select(part, F.lag(F.struct(own, what)).over(Window.orderBy(part)).alias("end"))  # rows by partitions
+    ends = ends.select(F.col(part), F.col(f"end.{own}").alias(g), F.col(f"end.{what}").alias(v)).where(F.col(g).isNotNull())
+    kept = runs.where(~F.col(last)).join(ends, part, "left")
+    goes_on = F.col(edge) & F.coalesce((F.col(g) == F.col(own)) & (F.col(v) == F.col(what)), F.lit(False))
+    return kept.where(~goes_on).select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def compare_captures(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
