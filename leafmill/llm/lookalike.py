@@ -26,11 +26,11 @@ from leafmill.session import materialise, ship_package
 # Letters that look like the letter (first of each pair) in another alphabet or form.
 TWINS = {
     "Cyrillic": "AА BВ EЕ SЅ IІ JЈ KК MМ HН OО PР CС TТ YУ YҮ XХ VѴ GԌ QԚ WԜ IӀ aа eе oо pр cс yу xх sѕ iі jј hһ dԁ qԛ wԝ lӏ vѵ əә ƏӘ ÆӔ æӕ",
-    "Greek": "AΑ BΒ EΕ ZΖ HΗ IΙ KΚ MΜ NΝ OΟ PΡ TΤ YΥ XΧ oο vν cϲ jϳ µμ ГΓ ПΠ ФΦ",
+    "Greek": "AΑ BΒ EΕ ZΖ HΗ IΙ KΚ MΜ NΝ OΟ PΡ TΤ YΥ XΧ oο pρ vν cϲ jϳ µμ ГΓ ПΠ ФΦ",
     "Armenian": "oօ OՕ uս UՍ nո hհ gց qզ SՏ",
     "Cherokee": "AᎪ BᏴ CᏟ DᎠ EᎬ GᏀ HᎻ JᎫ KᏦ LᏞ MᎷ PᏢ SᏚ TᎢ VᏙ WᎳ ZᏃ",
     "Lisu": "AꓮBꓐCꓚDꓓEꓰFꓝGꓖHꓧIꓲJꓙKꓗLꓡMꓟNꓠOꓳPꓑRꓣSꓢTꓔUꓴVꓦWꓪXꓫYꓬZꓜ",
-    "Latin": "gɡ aɑ ĐÐ ĐƉ əǝ",
+    "Latin": "gɡ aɑ cᴄ oᴏ sꜱ vᴠ wᴡ yʏ zᴢ e℮ ĐÐ ĐƉ əǝ",
     "Katakana": "へヘ",
 }
 # Decomposition kinds that differ in width or style only, and ranges whose compatibility form looks the same.
