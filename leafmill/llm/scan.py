@@ -17,6 +17,7 @@ from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -64,8 +65,9 @@ _SPECK_BETWEEN = re.compile(r"(?<=[^\W\d_]) +[|'~.^`¸] +(?=[^\W\d_])")
 _BLANK = re.compile(r"\n[ \t\f]*\n\s*")
 _WORD_BEFORE = re.compile(r"([^\W\d_]+)[ \n]\Z")
 _WORD_AFTER = re.compile(r"[ \n]([^\W\d_]+)")
-_LINE_END_HYPHEN = re.compile(r"[-\xad¬][ \t]*\n")
+_LINE_END_HYPHEN = re.compile(r"(?<=[^\W\d_])[-\xad¬][ \t]*\n")
 _SPECK = re.compile(r"(?<=[^\W\d_]) +[|'~.\"^*·`¸] +(?=[^\W\d_])|(?<=[^\W\d_,;]) +[|'~.^*·`¸](?=[^\W\d_A-Z]{2})|(?<=[^\W\d_]{2})[|~^*](?=[^\W\d_]{2})")
+_SPECK_SIGNS = (*(f" {x}" for x in "|'~.\"^*·`¸"), *"|~^*")  # one of them is in every match, and looked for faster
 _LONE = re.compile(r" *[|'~.\"^*·`¸] *(?=[^\W\d_])")
 _VERBATIM = re.compile(r"[ \t]{2,}\S|[-*•o]\s|\d{1,3}[.)]\s|.*[{};|]\s*$|[=\-~_*]{3,}\s*$|.*\S {2,}\S|set [A-Z]+=|for \(|if \(|hr = ")
 _ENDS = re.compile(r"[.!?。！？:…][\"'”’»)\]]*\s*$")
@@ -505,8 +507,9 @@ def paragraphs(lines: list[str]) -> list[str]:
     verbatim, begin, go_on = 0, 1, 2
     cost = [[0.0] * 3 for _ in rows]
     back = [[0] * 3 for _ in rows]
+    ends = [bool(_ENDS.search(x)) for x, _ in rows]
     for k, (x, blank) in enumerate(rows):
-        looks = bool(_VERBATIM.match(x))
+        looks, begins = bool(_VERBATIM.match(x)), x.lstrip()[:1]
         short = len(x) < 0.5 * width
         own = [0.0 if looks else 2.5 - short, 3.0 * looks + 0.3, 3.0 * looks]
         for state in (verbatim, begin, go_on):
@@ -515,9 +518,9 @@ def paragraphs(lines: list[str]) -> list[str]:
                 if k == 0:
                     choices.append(own[state] + (99.0 if state == go_on else 0.0))
                     continue
-                before = rows[k - 1][0]
-                join = (6.0 * blank + 1.6 * bool(_ENDS.search(before)) * (0.5 + (len(before) < 0.75 * width)) + 1.2 * (len(before) < 0.6 * width) + 0.8 * x.lstrip()[:1].isupper() * bool(_ENDS.search(before)) + 99.0 * (was == verbatim)) if state == go_on else 0.0
-                part = 2.2 * (not blank) * (x.lstrip()[:1].islower() + (not _ENDS.search(before))) if state == begin and was != verbatim else 0.0
+                before, ended = len(rows[k - 1][0]), ends[k - 1]
+                join = (6.0 * blank + 1.6 * ended * (0.5 + (before < 0.75 * width)) + 1.2 * (before < 0.6 * width) + 0.8 * begins.isupper() * ended + 99.0 * (was == verbatim)) if state == go_on else 0.0
+                part = 2.2 * (not blank) * (begins.islower() + (not ended)) if state == begin and was != verbatim else 0.0
                 choices.append(cost[k - 1][was] + own[state] + join + part)
             back[k][state] = min(range(3), key=choices.__getitem__)
             cost[k][state] = min(choices)
@@ -555,15 +558,15 @@ def examine(text: str, title: str | None, lex: Lexicon, repair: bool = True) ->
     skips: Skips = {}
     if _CANDIDATE.search(text):
         lines = text.split("\n")
-        starts = [0]
-        for x in lines:
-            starts.append(starts[-1] + len(x) + 1)
-        skips = {starts[a]: (min(len(text), starts[b + 1]), cost, b - a + 1) for a, b, cost in furniture(lines, title)}
+        if blocks := furniture(lines, title):
+            starts = [0, *accumulate(len(x) + 1 for x in lines)]
+            skips = {starts[a]: (min(len(text), starts[b + 1]), cost, b - a + 1) for a, b, cost in blocks}
     spans = [(max(0, a - 1), end) for a, (end, _, _) in skips.items()]
     spans += [m.span() for m in _LINE_END_HYPHEN.finditer(text)]
     if (fresh := tokens_in(text) - lex.fine) and (odd := {t for t in fresh if lex.suspicious(t)} | parted(text, fresh - lex.fine, lex)):
         spans += [m.span() for m in _TOKEN.finditer(text) if m[0] in odd]
-    spans += [m.span() for m in _SPECK.finditer(text)]
+    if any(x in text for x in _SPECK_SIGNS):
+        spans += [m.span() for m in _SPECK.finditer(text)]
     found = Found(Edits())
     if spans:
         spans.sort()
