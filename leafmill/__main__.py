@@ -8,12 +8,20 @@ from pathlib import Path
 
 from leafmill import plans
 from leafmill.functions import text as X
+from leafmill.operators.observe import observations
 from leafmill.session import local_session, table
 from leafmill.sources import readers, sinks
 
 TABLES = ("wrap_oss_page", "version_statement", "aux_constant", "api_symbol", "header_review", "value_review", "probe_receipt", "cdx_capture")
 
 
+def build_pages(spark, folder: str, base: str, layer: str) -> None:
+    """The observation tables of a folder of pages, as Parquet, and a manifest of the pages."""
+    for name, rows in observations(readers.whole_files(spark, folder), layer).items():
+        sinks.write_table(rows, base, name)
+    sinks.write_table(sinks.manifest(spark, folder), base, "manifest")
+
+
 def build(spark, source: str, base: str) -> None:
     """All tables and all answers as Parquet, and a manifest of the inputs."""
     for name in TABLES:
@@ -56,6 +64,8 @@ def main(argv: list[str] | None = None) -> int:
         c = commands.add_parser(name)
         c.add_argument("source")
         c.add_argument("base")
+        if name == "build":
+            c.add_argument("--layer", help="the source is a folder of HTML pages of this layer, not of tables")
     c = commands.add_parser("query")
     c.add_argument("base")
     c.add_argument("sql")
@@ -70,7 +80,10 @@ def main(argv: list[str] | None = None) -> int:
     a = parser.parse_args(argv)
     spark = local_session()
     if a.command == "build":
-        build(spark, a.source, a.base)
+        if a.layer:
+            build_pages(spark, a.source, a.base, a.layer)
+        else:
+            build(spark, a.source, a.base)
     elif a.command == "check":
         return int(check(spark, a.source, a.base) > 0)
     elif a.command == "query":

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from leafmill.functions import text as X
 from leafmill.operators import resolve as R
+from leafmill.operators.observe import observations
 from leafmill.plans.knowledge import ESC, SQL as KNOWLEDGE, k_versions
 from leafmill.session import scratch_path
 from leafmill.session import table as T
@@ -92,6 +93,17 @@ def k_not_allowed(spark: SparkSession, d: str) -> DataFrame:
     return R.not_allowed(T(spark, d, "wrap_oss_page").where(F.lower(F.trim("layer")) == "oss").select("page_id", "project"), allowed, ["project"]).select("page_id", "project")
 
 
+@query(rf"""SELECT out_path AS path, sha256('<title>' || coalesce(replace(replace(title, '<', '&lt;'), '>', '&gt;'), '') || '</title>' || coalesce(body, '')) AS sha256_hex FROM wrap_oss_page
+    WHERE regexp_extract(out_path, '([^/]+)/[^/]*$', 1) IN (SELECT library_name FROM aux_constant) AND coalesce(trim(title), '') <> 'Topic Not Found'""")
+def k_mirrored_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of a mirror: the wanted sets only, the mirror's counter taken out, placeholders left out."""
+    title = F.replace(F.replace(F.coalesce("title", F.lit("")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    html = F.concat(F.lit("<title>"), title, F.lit("</title><!-- counter "), F.col("page_id").cast("string"), F.lit(" -->"), F.coalesce("body", F.lit("")))
+    pages = readers.parsed_html(T(spark, d, "wrap_oss_page").where("out_path is not null").select(F.col("out_path").alias("path"), html.alias("value")))
+    wanted = T(spark, d, "aux_constant").where("library_name is not null").select(F.col("library_name").alias("doc_set"))
+    return readers.mirrored(pages, wanted, r"<!-- counter \d+ -->").select("path", F.sha2("value", 256).alias("sha256_hex"))
+
+
 # Requirement rows and statements
 
 
@@ -114,6 +126,18 @@ def k_page_fields(spark: SparkSession, d: str) -> DataFrame:
     return T(spark, d, "api_symbol").select("symbol", X.page_fields(html).alias("p")).select("symbol", "p.signature", "p.header", "p.link", "p.versions")
 
 
+@query("""SELECT what, n FROM (SELECT count(*) AS page, count(*) AS declaration, 3 * count(*) AS requirement, count(*) FILTER (WHERE kind = 'function') AS version, count(*) FILTER (WHERE trim(header_file) <> '') AS header,
+    count(*) FILTER (WHERE trim(link_file) <> '') AS library, count(*) AS link FROM api_symbol) UNPIVOT (n FOR what IN (page, declaration, requirement, version, header, library, link))""")
+def k_built_observations(spark: SparkSession, d: str) -> DataFrame:
+    """How many rows the observation tables have that are built of one page a symbol."""
+    cell = lambda c: F.coalesce(F.col(c), F.lit(""))
+    versions = F.when(F.col("kind") == "function", "2.0 and later").otherwise("")
+    html = F.concat(F.lit("<title>"), "symbol", F.lit('</title><a href="toc.htm">up</a><h1>x</h1><pre>'), "symbol", F.lit("(void);</pre><table><tr><td>Defined in:<td>"), cell("header_file"), F.lit("<tr><td>Link to:<td>"), cell("link_file"), F.lit("<tr><td>Versions:<td>"), versions, F.lit("</table>"))
+    pages = T(spark, d, "api_symbol").select(F.concat(F.lit("corpus/set/"), "symbol", F.lit(".htm")).alias("path"), html.alias("value"))
+    tables = observations(pages, "ce")
+    return R.stack([rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("what"), "n") for name, rows in tables.items() if name != "reject"])
+
+
 @query("SELECT const_id, line_no, 'name' AS label, trim(const_name) AS value FROM aux_constant WHERE const_name IS NOT NULL")
 def k_markdown_rows(spark: SparkSession, d: str) -> DataFrame:
     """Names out of tables of Markdown, with their underscores escaped."""

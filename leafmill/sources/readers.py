@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import io
+import re
+import tarfile
+import zipfile
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.functions import text as X
+from leafmill.session import ship_package
 
 REVIEW_NAMES = "review_scope string, review_key string, header_file string, verdict string, evidence_page string, remark string"
 REVIEW_VALUES = "const_name string, resolved_value string, category string, verdict string"
@@ -127,6 +135,47 @@ def split_lines(files: DataFrame) -> DataFrame:
     return files.select("path", F.posexplode(F.split("value", r"\r?\n")).alias("n", "line")).select("path", (F.col("n") + 1).alias("line_no"), "line")
 
 
+def archive_members(spark: SparkSession, folder: str, glob: str = "*.{tar.gz,tgz,tar,zip}", wanted: str = r"\.(cs|h|def)$") -> DataFrame:
+    """(archive, path, value) of the members of archives whose names match, read as UTF-8; directories and other members aside.
+
+    An archive is unpacked by one task, member by member, and leaves in batches of bounded size; archives are read side by side.
+    """
+    ship_package(spark)
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(folder).select("path", "content")
+    keep = re.compile(wanted, re.IGNORECASE).search
+
+    def members(name: str, data: bytes) -> Iterator[tuple[str, bytes]]:
+        if name.lower().endswith(".zip"):
+            with zipfile.ZipFile(io.BytesIO(data)) as z:
+                yield from ((m.filename, z.read(m)) for m in z.infolist() if not m.is_dir() and keep(m.filename))
+        else:
+            with tarfile.open(fileobj=io.BytesIO(data)) as t:
+                yield from ((m.name, t.extractfile(m).read()) for m in t if m.isfile() and keep(m.name))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], ["archive", "path", "value"])
+        for b in batches:
+            for name, data in zip(*(c.to_pylist() for c in b.columns)):
+                rows, size = [], 0
+                for path, value in members(name, data):
+                    rows.append((name, path, value.decode("utf-8", "replace")))
+                    size += len(value)
+                    if size > 8_000_000:
+                        yield batch(rows)
+                        rows, size = [], 0
+                if rows:
+                    yield batch(rows)
+
+    return raw.mapInArrow(run, "archive string, path string, value string")
+
+
+def mirrored(pages: DataFrame, wanted: DataFrame, snippet: str) -> DataFrame:
+    """Of parsed pages those of the wanted sets (doc_set), without the mirror's own snippet and without placeholders and empty pages."""
+    some = pages.join(wanted.select("doc_set").distinct(), "doc_set", "left_semi")
+    kept, _ = good_pages(some.withColumn("value", X.strip_snippet(F.col("value"), snippet)), "path", "page_title", "value")
+    return kept
+
+
 def review_table(spark: SparkSession, path: str, schema: str = REVIEW_NAMES) -> DataFrame:
     """A review list: tab-separated, with a header line, ``#`` comments."""
     return spark.read.csv(path, sep="\t", header=True, comment="#", schema=schema)

@@ -89,3 +89,58 @@ def test_streams(spark, tmp_path):
     q = ingest.page_stream(spark, d).writeStream.format("memory").queryName("pages_seen").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert spark.table("pages_seen").first()["title"] == "A"
+
+
+def test_pages_with_odd_names_stay_apart(spark, tmp_path):
+    df = spark.createDataFrame([("a b.html", "one"), ("a_b.html", "two"), ("x/ü&=%.html", "three")], "p string, h string")
+    sinks.write_pages(df, str(tmp_path / "w"), "p", "h")
+    back = spark.read.text(str(tmp_path / "w")).select(F.url_decode("page").alias("p"), "value")
+    assert {tuple(r) for r in back.collect()} == {tuple(r) for r in df.collect()}
+
+
+def test_build_from_pages(spark, tmp_path, capsys, monkeypatch):
+    from leafmill import __main__ as M
+
+    page = """<html><title>OpenThing</TITLE><a href='toc.htm'>up</a><h1>OpenThing</h1><pre><b>HANDLE</b>
+      OpenThing(void);</pre><table><tr><td>Versions:</td><td>2.0 and later<tr><td>Defined in:<td>Thing.h (include Base.h)<tr><td>Link to:<td>a.lib; B.lib (version 2)
+      <tr><td>Platform<td></table>"""
+    d = put(tmp_path / "in", {"set/open.htm": page, "set/gone.HTM": "<title>Topic Not Found</title>x", "set/a.gif": "no"})
+    monkeypatch.setattr(M, "local_session", lambda: spark)
+    base = str(tmp_path / "kb")
+    assert M.main(["build", d, base, "--layer", "ce"]) == 0
+    rows = lambda t, *c: [tuple(r) for r in spark.read.parquet(f"{base}/{t}").select(*c).collect()]
+    assert rows("page", "doc_set", "file_name", "symbol", "layer") == [("set", "open.htm", "OpenThing", "ce")]
+    assert rows("declaration", "signature") == [("HANDLE OpenThing(void);",)]
+    assert rows("version", "version_min", "open_ended", "parse_status") == [("2.0", True, "parsed")]
+    assert rows("header", "header", "include_header") == [("thing.h", "base.h")]
+    assert sorted(rows("library", "library")) == [("a.lib",), ("b.lib",)]
+    assert ("platform", "") in rows("requirement", "label", "value") and rows("link", "target") == [("toc.htm",)] and rows("reject", "reason") == [("placeholder",)]
+    capsys.readouterr()
+    assert M.main(["query", base, "SELECT symbol, 'a' || chr(9) || 'b' AS t FROM page CROSS JOIN range(1500)"]) == 0
+    out = capsys.readouterr().out.splitlines()
+    assert out[0] == "symbol\tt" and len(out) == 1501 and out[1] == "OpenThing\ta\\tb"
+    assert M.main(["check", d, base]) == 0
+    put(tmp_path / "in", {"set/new.htm": "x"})
+    assert M.main(["check", d, base]) == 1
+
+
+def test_archive_members(spark, tmp_path):
+    import io
+    import tarfile
+    import zipfile
+
+    with tarfile.open(tmp_path / "a.tar.gz", "w:gz") as t:
+        for name, data in (("src/A.cs", "const uint A = 1;\n"), ("src/é.H", "#define B 2"), ("x.png", "no")):
+            info = tarfile.TarInfo(name)
+            info.size = len(data.encode())
+            t.addfile(info, io.BytesIO(data.encode()))
+    with zipfile.ZipFile(tmp_path / "b.zip", "w") as z:
+        z.writestr("lib/c.def", "EXPORTS\n One @1\n")
+        z.writestr("big.cs", "x" * 9_000_000)
+        z.writestr("after.cs", "y")
+    (tmp_path / "c.txt").write_text("no")
+    got = {r["path"]: r["value"] for r in readers.archive_members(spark, str(tmp_path)).collect()}
+    assert {k: len(v) for k, v in got.items()} == {"src/A.cs": 18, "src/é.H": 11, "lib/c.def": 16, "big.cs": 9_000_000, "after.cs": 1}
+    lines = readers.split_lines(readers.archive_members(spark, str(tmp_path / "a.tar.gz")))
+    assert sorted((r["path"], r["line_no"]) for r in lines.collect()) == [("src/A.cs", 1), ("src/A.cs", 2), ("src/é.H", 1)]
+    assert readers.archive_members(spark, str(tmp_path), wanted=r"\.none$").count() == 0
