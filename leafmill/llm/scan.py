@@ -140,7 +140,7 @@ class Lexicon:
             if not (_CAMEL.search(token) and token[0].isupper()):
                 if self.misread(low) or self.run_together(token):
                     return True
-            elif _CODE.search(low) and any(self.count(w) > 2 + 3 * self.count(low) for w in self.variants(low, 1)):
+            elif _CODE.search(low) and any(self.count(w) > 2 + 3 * self.count(low) for w, _ in self.variants(low, 1)):
                 return True  # a name, misread as a sign or a digit within it
         if not low.isalpha() or self.common(low) or token != low:  # a rare word may be part of one
             if len(self.fine) > 500_000:
@@ -166,11 +166,11 @@ class Lexicon:
         if len(token) < 4 and token.isalpha():
             return False
         short = 10.0 ** max(0, 4 - len(token))
-        for edits, least, times in ((1, 0.002, 50), (2, 0.01, 200)):
-            need = max(2.0 if edits == 1 else 4.0, least * short * self.pages, times * short * (n - 1))
-            if need <= self.pages and any(self.count(word) >= need for word in self.variants(token, edits)):
-                return True
-        return any(self.count(word) >= max(4.0, 0.01 * self.pages, 200 * (n - 1)) for edits in range(3, len(token) // LETTERS_AN_EDIT + 1) for word in self.variants(token, edits))
+        few = max(2.0, 0.002 * short * self.pages, 50 * short * (n - 1))
+        more = max(4.0, 0.01 * short * self.pages, 200 * short * (n - 1))
+        if few > self.pages:
+            return False
+        return any(self.count(word) >= (few if edits == 1 else more) for word, edits in self.variants(token, max(EDITS, len(token) // LETTERS_AN_EDIT)))
 
     def run_together(self, token: str) -> bool:
         """Whether a rare token in small letters begins with a common word and goes on with words."""
@@ -187,23 +187,21 @@ class Lexicon:
                     todo.append(k)
         return False
 
-    def variants(self, token: str, edits: int) -> set[str]:
-        """What the token can be a misreading of; only beginnings of known words are followed."""
-        out: set[str] = set()
+    def variants(self, token: str, most: int) -> Iterator[tuple[str, int]]:
+        """(word or beginning of one, edits) that the token can be a misreading of; only beginnings of known words are followed."""
         todo = [(0, "", 0)]
         while todo:
             at, made, done = todo.pop()
             if at == len(token):
-                if done == edits:
-                    out.add(made)
+                if done:
+                    yield made, done
                 continue
             if self.begins(made + token[at]):
                 todo.append((at + 1, made + token[at], done))
-            if done < edits:
+            if done < most:
                 for seen, meant in BY_FIRST.get(token[at], ()):
                     if token.startswith(seen, at) and self.begins(made + meant):
                         todo.append((at + len(seen), made + meant, done + 1))
-        return out
 
 
 def count_words(df: DataFrame, text_col: str) -> DataFrame:
@@ -341,8 +339,8 @@ def decode(s: str, lex: Lexicon, skips: Skips | None = None, look: list[tuple[in
             x, y = next(spans)
         ch = s[i]
         if i in skips:
-            end, keep, lines = skips[i]
-            reach(i, end, here + plain_cost(s, i, end, lex, {}, {}), "", (0, 0, 0, 0, 0, lines))
+            after, keep, lines = skips[i]
+            reach(i, after, here + plain_cost(s, i, after, lex, {}, {}), "", (0, 0, 0, 0, 0, lines))
             here += keep
         letter = ch.isalpha()
         if not letter:
@@ -350,7 +348,8 @@ def decode(s: str, lex: Lexicon, skips: Skips | None = None, look: list[tuple[in
             if i >= inside and i in kept and (m := _SPECK_BETWEEN.match(s, i)):
                 reach(i, m.end(), here + 1.0, "" if i and s[i - 1] == " " else " ", (0, 0, 0, 0, 1, 0))
         lost = i > 0 and s[i - 1].isalnum() and back[i][1].endswith(" ")
-        if i >= max(x, inside) and (letter or ch.isdigit() or ch in "(|!") and (i == 0 or not s[i - 1].isalnum() or lost):
+        end = _WORD.match(s, i).end() if letter else i
+        if i >= max(x, inside) and (letter or ch.isdigit() or ch in "(|!") and (i == 0 or not s[i - 1].isalnum() or lost) and not (letter and settled(s, i, end, lex)):
             for j, word, cost, e in words_at(s, i, lex, skips):
                 if e == NONE:
                     continue  # the arc below
@@ -365,12 +364,12 @@ def decode(s: str, lex: Lexicon, skips: Skips | None = None, look: list[tuple[in
                     text = word.upper() if text.isupper() and len(text) > 1 else word.capitalize() if text[0].isupper() else word
                 reach(i, j, here + cost, text + " " * (j < n and s[j].isalpha() and s[j - 1].isalnum()), e)
         if letter:
-            j = _WORD.match(s, i).end()
+            j = end
             reach(i, j, here + lex.stands(s[i:j]), s[i:j], NONE)
             if i >= max(x, inside) and j < n and s[j] in HYPHENS and (m := _HYPHEN_END.match(s, j)):
-                end, _, lines = skips.get(m.end(), (m.end(), 0.0, 0))
+                after, _, lines = skips.get(m.end(), (m.end(), 0.0, 0))
                 # A word that is nowhere else is one if neither half is a word.
-                if (w := _WORD.match(s, end)) and w[0].islower() and (s[j] != "-" or j - i > 1 and not lex.count(s[i:j].lower()) and not lex.count(w[0])):
+                if (w := _WORD.match(s, after)) and w[0].islower() and (s[j] != "-" or j - i > 1 and not lex.count(s[i:j].lower()) and not lex.count(w[0])):
                     whole = s[i:j] + w[0]
                     reach(i, w.end(), here + lex.stands(whole) + HYPHEN_COST, whole, (1, 0, 0, 0, 0, lines))
     parts, found, at = [], Reading("", Edits()), n
@@ -393,6 +392,18 @@ def decode(s: str, lex: Lexicon, skips: Skips | None = None, look: list[tuple[in
     return found
 
 
+def settled(s: str, i: int, j: int, lex: Lexicon) -> bool:
+    """Whether a word is usual, whole, and followed by no speck, no hyphen and no rare word, so that it can only be what it is."""
+    if not lex.common(s[i:j].lower()):
+        return False
+    if j == len(s):
+        return True
+    if s[j].isalnum() or s[j] in HYPHENS or s[j] in "|~^*(!'`" or _LONE.match(s, j):
+        return False
+    after = _WORD_AFTER.match(s, j)
+    return after is None or lex.common(after[1].lower())
+
+
 def lone_specks(s: str) -> dict[int, float]:
     """Where specks stand alone between two words of a line of prose that has no other such sign: what keeping each costs."""
     out: dict[int, float] = {}
