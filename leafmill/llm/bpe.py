@@ -283,6 +283,21 @@ def encode_column(df: DataFrame, id_col: str, text_col: str, out: str = "ids", n
     return df.select(id_col, text_col).mapInArrow(run, schema)
 
 
+def decode_column(df: DataFrame, id_col: str, ids_col: str = "ids", out: str = "text", name: str = "byte_bpe_50k", folder: str | None = None) -> DataFrame:
+    """(id, text) of lists of ids: the way back from :func:`encode_column`. An empty list gives an empty text, null gives null; an id that isn't in the vocabulary is an error."""
+    folder = folder or tokenizer_folder()
+    ship_vocabulary(df.sparkSession, name, folder)
+    schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField(out, T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(name, folder)
+        for batch in batches:
+            texts = [None if ids is None else own.decode(ids) for ids in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], [id_col, out])
+
+    return df.select(id_col, ids_col).mapInArrow(run, schema)
+
+
 def count_column(df: DataFrame, id_col: str, text_col: str, out: str = "n_tokens", name: str = "byte_bpe_50k", folder: str | None = None) -> DataFrame:
     """(id, number of tokens) for every row; 0 for null and empty texts."""
     folder = folder or tokenizer_folder()
