@@ -39,11 +39,11 @@ for _seen, _meant in MISREAD:
     BY_FIRST.setdefault(_seen[0], []).append((_seen, _meant))
 CODE_COST, LETTER_COST, HYPHEN_COST, SPACE_COST, SPECK_COST = 3.5, 4.5, 0.0, 5.5, 4.0
 #: A lost space; what a word costs that isn't in the lexicon, at least and a letter; a hyphen of the kinds no text has at a line's end.
-LOST_COST, UNKNOWN_COST, UNKNOWN_LETTER_COST, SOFT_COST = 3.5, 17.0, 2.0, 8.0
+LOST_COST, UNKNOWN_COST, UNKNOWN_LETTER_COST, SOFT_COST = 3.5, 18.0, 2.0, 8.0
 #: What a lone speck between two words of a line of prose costs if it stays.
 KEPT_SPECK = 4.0
 #: By how much the edits together must beat what stands there to make the page a noisy one; and lost and gained spaces alone.
-SURE, SURE_SPACES = 1.5, 30.0
+SURE, SURE_SPACES = 1.5, 10.0
 #: Edits of a word besides hyphens: so many, or one for so many letters.
 EDITS, LETTERS_AN_EDIT = 2, 4
 HYPHENS = "-\xad¬"
@@ -66,9 +66,10 @@ _BLANK = re.compile(r"\n[ \t\f]*\n\s*")
 _WORD_BEFORE = re.compile(r"([^\W\d_]+)[ \n]\Z")
 _WORD_AFTER = re.compile(r"[ \n]([^\W\d_]+)")
 _LINE_END_HYPHEN = re.compile(r"(?<=[^\W\d_])[-\xad¬][ \t]*\n")
-_SPECK = re.compile(r"(?<=[^\W\d_]) +[|'~.\"^*·`¸] +(?=[^\W\d_])|(?<=[^\W\d_,;]) +[|'~.^*·`¸](?=[^\W\d_A-Z]{2})|(?<=[^\W\d_]{2})[|~^*](?=[^\W\d_]{2})")
+# A sign around a word on both sides is a quote or an emphasis and no speck.
+_SPECK = re.compile(r"(?<=[^\W\d_]) +(?:([|'~.\"^*·`¸])(?!\w+\1) +|(?<![,;] )([|'~.^*·`¸])(?!\w+\2))(?=[^\W\d_])|(?<=[^\W\d_])([|~^*])(?!\w+\3)(?=[^\W\d_])")
 _SPECK_SIGNS = (*(f" {x}" for x in "|'~.\"^*·`¸"), *"|~^*")  # one of them is in every match, and looked for faster
-_LONE = re.compile(r" *[|'~.\"^*·`¸] *(?=[^\W\d_])")
+_LONE = re.compile(r" *([|'~.\"^*·`¸])(?!\w+\1) *(?=[^\W\d_])")
 _VERBATIM = re.compile(r"[ \t]{2,}\S|[-*•o]\s|\d{1,3}[.)]\s|.*[{};|]\s*$|[=\-~_*]{3,}\s*$|.*\S {2,}\S|set [A-Z]+=|for \(|if \(|hr = ")
 _ENDS = re.compile(r"[.!?。！？:…][\"'”’»)\]]*\s*$")
 
@@ -136,9 +137,14 @@ class Lexicon:
         """Whether a token as it stands in the text should be decoded; those that need not are remembered."""
         token = raw.strip(".'\"()*&–—-·’")
         low = token.lower()
-        if len(token) > 1 and not self.common(low) and _SHAPE.fullmatch(low) and not low.isdigit():
-            if not (_CAMEL.search(token) and token[0].isupper()):
-                if self.misread(low) or self.run_together(token):
+        if len(token) > 1 and not self.common(low) and not low.isdigit():
+            if "-" in low:
+                if any(len(x) > 3 and not self.common(x) and _SHAPE.fullmatch(x) and not x.isdigit() and self.misread(x) for x in low.split("-")):
+                    return True  # a part of a compound
+            elif not _SHAPE.fullmatch(low):
+                pass
+            elif not (_CAMEL.search(token) and token[0].isupper()):
+                if self.misread(low) or self.run_together(token) or raw[0] == "(" and ")" not in raw and self.misread("(" + low):
                     return True
             elif _CODE.search(low) and any(self.count(w) > 2 + 3 * self.count(low) for w, _ in self.variants(low, 1)):
                 return True  # a name, misread as a sign or a digit within it

@@ -114,6 +114,19 @@ def test_specks_alone(lex, speck):
     assert not S.examine(text + "\n\nhome | about | contact | help | index\n\n| timer | 3 |\n", None, lex).noisy
 
 
+@pytest.mark.parametrize(("right", "wrong"), [("column", "(olumn"), ("timer-based", "tirner-based"), ("closes", "close .s"), ("timer", "time ~r"), ("opens", "o~pens")])
+def test_misread_beginnings_compounds_and_specks_at_the_ends(right, wrong):
+    lex = S.Lexicon({"column": 300, "timer": 300, "based": 200, "the": 900, "closes": 300, "close": 200, "opens": 300, "open": 300, "one": 800, "here": 700}, 1000)
+    found = S.examine(f"the one {wrong} here", None, lex)
+    assert found.noisy and found.repaired == [f"the one {right} here"]
+
+
+@pytest.mark.parametrize("text", ["use 'd' here", "the *use* here", "`use` here", 'use "d" here', "a ~use~ here", "the open.close here", "the use.\nOpen here"])
+def test_quotes_and_emphasis_are_no_specks(text):
+    lex = S.Lexicon({"use": 300, "used": 300, "the": 900, "theuse": 50, "here": 700, "open": 300, "close": 300}, 1000)
+    assert not S.examine(text, None, lex).noisy
+
+
 @pytest.mark.parametrize(
     "pairs",
     [(("calibrates every", "calibratesevery"), ("before the", "beforethe"), ("every keyboard", "everykeyboard")), (("keyboard", "key board"), ("timer", "ti mer"), ("calibrates", "cali brates"), ("message", "mes sage"))],
