@@ -29,8 +29,10 @@ from leafmill.session import drop_table, materialise, sent_if_small, ship_packag
 BITS = 128
 ROWS = 2
 SIGMAS = 4.5
-#: Members of a key walked as one trie; larger groups are walked in blocks of pairs of such parts.
-PART = 1024
+#: Members of a key that one task takes; those of larger groups go to the tasks of all pairs of such parts, once to each.
+PART = 8192
+#: Members walked as one trie, so that the walk's frontier stays small; a task walks all pairs of such pieces of its block.
+PIECE = 1024
 #: Share of the rows by which hot keys are looked for; this only spreads the work, no result depends on it.
 HOT_SAMPLE = 1 / 16
 #: The chance of a wrong verdict on a pair that is accepted without its texts.
@@ -249,18 +251,40 @@ def candidates(reps: DataFrame, budget: int, threshold: float) -> DataFrame:
         if not len(at):
             return
         prints = np.stack([t.column(c).to_numpy()[at].view(np.uint64) for c in ("f0", "f1")], axis=1)
-        # As many tries at once as have a bounded number of pairs together, so that the walk's frontier stays small.
+        # As many tries at once as have a bounded number of pairs together, so that the walk's frontier stays small; large groups by themselves.
         work = np.cumsum(size[at].astype(np.int64)) // FRONTIER
+        work += np.cumsum(np.where(new[at] & ((size[at] > 2 * PIECE) | np.append(False, size[at][:-1] > 2 * PIECE)), FRONTIER, 0))
         work = np.maximum.accumulate(np.where(new[at], work, 0))
         for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(work)) + 1):
             own = at[part]
-            i, j = trie_self_join(group[own], prints[part], side[own] + 2 * (low[own] == high[own]), budget)
-            i, j = own[i], own[j]
-            keep = (np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j])) & (ids[i] != ids[j])
-            x, y = ids[i[keep]], ids[j[keep]]
-            if len(x):
-                pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema.names)
+            for i, j in pieces(group[own], prints[part], side[own] + 2 * (low[own] == high[own]), own):
+                yield from found(i, j, n, ids)
+
+    def pieces(group: np.ndarray, prints: np.ndarray, sides: np.ndarray, own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The walks of whole groups, or, of one that is too large, of all pairs of its pieces."""
+        if len(own) <= 2 * PIECE or group[0] != group[-1]:
+            i, j = trie_self_join(group, prints, sides, budget)
+            yield own[i], own[j]
+            return
+        cut = lambda x: np.array_split(x, -(-len(x) // PIECE))
+        a, b = (np.flatnonzero(sides == k) for k in (0, 1))
+        if len(a) and len(b):
+            pairs = [(x, y) for x in cut(a) for y in cut(b)]
+        else:
+            c = cut(np.arange(len(own)))
+            pairs = [(x, None if k == m else c[m]) for k, x in enumerate(c) for m in range(k, len(c))]
+        for x, y in pairs:
+            both = x if y is None else np.concatenate([x, y])
+            which = np.full(len(x), 2) if y is None else np.repeat([0, 1], [len(x), len(y)])
+            i, j = trie_self_join(np.zeros(len(both), np.int64), prints[both], which, budget)
+            yield own[both[i]], own[both[j]]
+
+    def found(i: np.ndarray, j: np.ndarray, n: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        keep = (np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j])) & (ids[i] != ids[j])
+        x, y = ids[i[keep]], ids[j[keep]]
+        if len(x):
+            pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []

@@ -52,9 +52,10 @@ def texts(seed, n=120):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "part", "doubt"), [(1, N.PART, N.DOUBT), (2, 6, N.DOUBT), (3, 6, 0.0)])
+@pytest.mark.parametrize(("seed", "part", "doubt"), [(1, N.PART, N.DOUBT), (2, 6, N.DOUBT), (3, 16, 0.0)])
 def test_pairs_equal_brute_force(spark, monkeypatch, seed, part, doubt):
     monkeypatch.setattr(N, "PART", part)  # the second case walks hot keys in blocks
+    monkeypatch.setattr(N, "PIECE", 4 if part < N.PART else N.PIECE)  # and large blocks in pieces
     monkeypatch.setattr(N, "HOT_SAMPLE", 0.9)
     monkeypatch.setattr(N, "DOUBT", doubt)  # the third asks the texts of all pairs
     rows = texts(seed) + [(1000, None), (1001, ""), (1002, "a b"), (1003, "a b c"), (1004, "a  b\nc"), (1005, "a\x0bb c d"), (1006, "a b c d")]
