@@ -96,7 +96,7 @@ def described(df: DataFrame, id_col: str, keys: list[str], content: str, at: str
     narrow = df.select(
         *own.values(),
         F.coalesce(F.octet_length(content), F.lit(0)).cast("long").alias("n_bytes"),
-        F.sha2(content, 256).alias("digest"),
+        F.unhex(F.sha2(content, 256)).alias("digest"),
         F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)).alias("row_hash"),
         F.xxhash64(*own).alias("key_hash"),
         (F.col(at) if at else F.lit(None).cast("timestamp")).alias("at"),
@@ -115,7 +115,7 @@ def stored_copies(narrow: DataFrame, group: str, number: str, id_: str) -> DataF
     first_id = F.min(F.struct(F.col("at").isNull(), F.col("at"), F.col(id_)))[id_].alias(id_)
     numbered, loose = named.where(F.col(number).isNotNull()), named.where(F.col(number).isNull() & F.col("digest").isNotNull())
     kept = numbered.groupBy(group, number).agg(first_id).select(id_)
-    first = loose.groupBy(group, "digest").agg(first_id).join(numbered.select(group, "digest"), [group, "digest"], "left_anti").select(id_)
+    first = loose.groupBy(group, "digest").agg(first_id).join(numbered.select(group, "digest").distinct(), [group, "digest"], "left_anti").select(id_)
     alone = narrow.where(F.col(group).isNull() | F.col(number).isNull() & F.col("digest").isNull()).select(id_)
     kept = kept.unionByName(first).unionByName(alone).where(F.col(id_).isNotNull())
     return narrow.where(F.col(id_).isNotNull()).join(kept, id_, "left_anti")
@@ -263,7 +263,7 @@ def same_records(df: DataFrame, keys: list[str], content: str, target_bytes: int
     """
     digest, near = free_name(df.columns, "content_hash"), free_name(df.columns, "has_neighbour")
     path = scratch_path(df.sparkSession, "clustered")
-    df = df.withColumn(digest, F.sha2(content, 256))
+    df = df.withColumn(digest, F.unhex(F.sha2(content, 256)))
     rows, *_ = cluster(df, described(df, id_col, keys, content), keys, id_col, target_bytes, path, near=near)
     own = rows.where(F.col(group).isNotNull()).select(F.col(group).alias("g"), F.col(number).alias("k"), F.col(digest).alias("h"), F.col(id_col).alias("id"), F.col(near).alias("near"))
     a, b = (own.where("near and k is not null").select("g", "k", F.col("id").alias(f"id_{x}")) for x in "ab")
