@@ -429,7 +429,7 @@ def furniture(lines: list[str], title: str | None) -> list[tuple[int, int, float
     """(first line, last line, what keeping them costs) of the running heads, feet and page numbers.
 
     Candidates are lone numbers and lines with a number beside a heading. One counts if a heading like the
-    title, or one repeated with other numbers, stands with it, if a form feed ends it, or if it interrupts a sentence
+    title, or one repeated with other numbers, stands with it, if a form feed ends it, or if it interrupts a sentence or stands between two lines of prose
     and is marked as a page number or follows the count of another one.
     """
     found: dict[int, tuple[int, str, str, list[int]]] = {}  # line -> number, format, heading, its lines
@@ -475,6 +475,8 @@ def furniture(lines: list[str], title: str | None) -> list[tuple[int, int, float
         if own[-1] + 1 < len(lines) and "\f" in lines[own[-1] + 1] and not lines[own[-1] + 1].strip():
             feed, own = True, [*own, own[-1] + 1]  # a line of nothing but the feed
         score = 2 * feed + 2 * titled + 2 * again + interrupts(lines, own[0], own[-1]) + series * (kind != "n5") + marked + (kind == "n2") * 0.5
+        if score < 2 and (kind != "n5" or series) and kind[0] == "n" and in_prose(lines, own[0], own[-1]):
+            score += 1 + (kind == "n5")
         if score >= 2:
             out.append((min(own), max(own), 2.0 * score - 1.5))
     merged: list[tuple[int, int, float]] = []
@@ -499,6 +501,15 @@ def like(a: str, b: str) -> bool:
     return 2 * sum((x & y).values()) >= 0.7 * (len(a) + len(b) - 2)
 
 
+def in_prose(lines: list[str], first: int, last: int) -> bool:
+    """Whether the lines before and after, blank ones aside, have four words or more."""
+    for part in (reversed(lines[:first]), lines[last + 1 :]):
+        near = next((x for x in part if x.strip()), "")
+        if len(near.split()) < 4:
+            return False
+    return True
+
+
 def interrupts(lines: list[str], first: int, last: int) -> int:
     """Whether a sentence runs on from the line before to the line after: 2 if both are long, 1 if the one before is."""
     if first == 0 or last + 1 >= len(lines):

@@ -140,6 +140,18 @@ def test_lost_and_gained_spaces_alone(lex, pairs):
     assert found.noisy and " ".join(found.repaired).split() == text.split()
 
 
+@pytest.mark.parametrize(("numbers", "noisy"), [(["- 41 -"], True), (["Page 41"], True), (["[41]", "[42]"], True), (["41", "42"], True), (["[41]"], False), (["41"], False), (["41", "57"], False)])
+def test_page_numbers_between_whole_sentences(lex, numbers, noisy):
+    parts = clean(21).replace("\n\n", " ").split(". ")
+    lines = [p.rstrip(".") + "." for p in parts]
+    for k, number in enumerate(numbers):
+        lines.insert(2 + 4 * k, number)
+    found = S.examine("\n".join(lines), "Title", lex)
+    assert found.noisy is noisy and found.edits.furniture == len(numbers) * noisy
+    table = "\n\n".join([clean(21), "adapter  187\n41\n42\ninbox  345\n43"])
+    assert not S.examine(table, "Title", lex).noisy
+
+
 def test_a_word_broken_across_page_furniture(lex):
     text = "Every timer calibrates the session before the keyboard closes one message."
     noisy = text.replace("calibrates", "cali-\n- 41 -\nA Guide to Timers\nbrates")
