@@ -140,6 +140,12 @@ def drop_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def local_path(spark: SparkSession, path: str) -> str | None:
+    """The plain path of a folder that is on a local or mounted file system; nothing for other file systems."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.toUri().getPath() if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getScheme() == "file" else None
+
+
 def free_name(columns: list[str], wanted: str) -> str:
     """``wanted``, lengthened by underscores until no input column is called so (case-insensitively)."""
     taken = {c.lower() for c in columns}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import os
 import re
 import tarfile
 import zipfile
@@ -13,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.functions import text as X
-from leafmill.session import ship_package
+from leafmill.session import local_path, ship_package
+from leafmill.sources.sinks import NO_PATH, PAGE_FOLDERS
 
 REVIEW_NAMES = "review_scope string, review_key string, header_file string, verdict string, evidence_page string, remark string"
 REVIEW_VALUES = "const_name string, resolved_value string, category string, verdict string"
@@ -49,6 +51,41 @@ def stored_files(spark: SparkSession, folder: str, pattern: str = r"(\d+)-(\d+)?
     )
 
 
+def written_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, value): the lines of the pages that :func:`sinks.write_pages` has written, with the path of each; every file is read.
+
+    On local and mounted file systems a task lists and reads folders ``at=`` by itself, so that the driver never holds a list of all files.
+    """
+    root = local_path(spark, folder)
+    if root is None:
+        lines = spark.read.schema("value string, at int, page string").text(folder)
+        return lines.select(F.coalesce(F.url_decode("page"), F.lit("")).alias("path"), "value")
+    ship_package(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch = lambda: pa.RecordBatch.from_arrays([pa.array(pages, pa.string()), pa.array(values, pa.string())], ["page", "value"])
+        pages, values, size = [], [], 0
+        for b in batches:
+            for at in b.column(0).to_pylist():
+                for own in os.scandir(f"{root}/at={at}") if os.path.isdir(f"{root}/at={at}") else ():
+                    page = own.name.removeprefix("page=").replace("%2A", "*").replace("%25", "%")
+                    for name in os.listdir(own.path):
+                        if name.startswith((".", "_")):
+                            continue
+                        with open(f"{own.path}/{name}", encoding="utf-8") as file:
+                            for line in file:
+                                pages.append("" if page == NO_PATH else page)
+                                values.append(line.rstrip("\n"))
+                                size += len(line) + len(page)
+                                if size > 8_000_000:
+                                    yield batch()
+                                    pages, values, size = [], [], 0
+        yield batch()
+
+    folders = spark.range(0, PAGE_FOLDERS, 1, min(PAGE_FOLDERS, 4 * spark.sparkContext.defaultParallelism)).select(F.col("id").alias("at"))
+    return folders.mapInArrow(run, "page string, value string").select(F.url_decode("page").alias("path"), "value")
+
+
 def markdown_pages(spark: SparkSession, folder: str) -> DataFrame:
     return parsed_markdown(whole_files(spark, folder, "*.md"))
 

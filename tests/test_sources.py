@@ -98,6 +98,28 @@ def test_pages_with_odd_names_stay_apart(spark, tmp_path):
     assert {tuple(r) for r in back.collect()} == {tuple(r) for r in df.collect()}
 
 
+def test_many_pages_are_written_and_read_in_time(spark, tmp_path):
+    import time
+
+    df = spark.range(3000).select(F.concat(F.lit("set/"), F.col("id").cast("string"), F.lit(".html")).alias("p"), F.col("id").cast("string").alias("h"))
+    began = time.time()
+    sinks.write_pages(df, str(tmp_path / "w"), "p", "h")
+    assert {tuple(r) for r in readers.written_pages(spark, str(tmp_path / "w")).collect()} == {tuple(r) for r in df.collect()}
+    assert time.time() - began < 15
+    assert len(list((tmp_path / "w").rglob("page=*/part*.txt"))) == 3000
+
+
+def test_written_pages_come_back_as_they_were(spark, tmp_path):
+    rows = [("007", "numbers stay texts"), ("7", "x"), ("", "no name"), ("a*b~ +.html", "é – \u2028"), ("twice", "one"), ("twice", "two"), ("null", None)]
+    df = spark.createDataFrame(rows, "p string, h string")
+    for _ in range(2):  # the second time in place of the first
+        sinks.write_pages(df, str(tmp_path / "w"), "p", "h")
+    assert sorted(tuple(r) for r in readers.written_pages(spark, str(tmp_path / "w")).collect()) == sorted((p, h or "") for p, h in rows)
+    assert len(list((tmp_path / "w").rglob("*.txt"))) == 6 and not list((tmp_path / "w").rglob(".part*"))
+    sinks.write_pages(df.where("false"), str(tmp_path / "w"), "p", "h")
+    assert readers.written_pages(spark, str(tmp_path / "w")).count() == 0
+
+
 def test_build_from_pages(spark, tmp_path, capsys, monkeypatch):
     from leafmill import __main__ as M
 
