@@ -3,7 +3,9 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from leafmill.llm import charset as C
 
@@ -152,6 +154,38 @@ def test_signs_alone_are_counted_over_all_rows_and_by_ratio(spark):
     assert C.examine("printer û even", C.train(Counter({"für": 5}), lone={"–": 178, "û": 2})) is None
 
 
+def test_sums_are_those_of_each_token_garbled():
+    words = [w for w in " ".join([DE, FR, RU, PL, *RIGHT]).split() if not w.isascii()][:250]
+    words = list(dict.fromkeys([*words, *filter(None, (c.garble(w) for w in words[:30] for c in C.ALL[::4])), "İİx", "a\x02é\x03", "Σας", "😀é", "ﬁé"]))
+    weight = np.arange(1.0, len(words) + 1)
+    tables, letters = C.sums_of(words, weight)
+    for c, table in enumerate(tables):
+        made = words if c == 0 else [C.ALL[c - 1].garble(w) for w in words]
+        kept = [k for k, (t, o) in enumerate(zip(made, words)) if t is not None and (c == 0 or t != o)]
+        at, starts = C.features([made[k] for k in kept])
+        assert (table == np.bincount(at, np.repeat(weight[kept], np.diff(np.append(starts, len(at)))), C.BUCKETS)).all()
+    pairs = [C.letter_pairs(w) for w in words]
+    assert (letters == np.bincount(sum(pairs, []), np.repeat(weight, list(map(len, pairs))), len(letters))).all()
+
+
+def test_model_is_of_all_rows(spark):
+    words = (DE + " " + FR + " " + RU).split()
+    rows = [(i, " ".join(words[i % 9 :: 3]), "größer" * 15 if i % 7 else "fÃ¼r") for i in range(200)]
+    counts = Counter(t for _, *texts in rows for text in texts for t in C.tokens_of(text))
+    own, local = C.fitted(spark.createDataFrame(rows, "page_id long, body string, title string"), ["title", "body"]), C.train(counts)
+    assert np.allclose(own.table, local.table, atol=1e-5) and np.allclose(own.letters, local.letters, atol=1e-5) and own.lone == local.lone
+    assert all(w in own.words for w in local.words) and len(own.words.hashes) == len(local.words)
+    assert "für" in own.words and "fã¼r" not in own.words
+    # More rows and different words than were ever sampled: each counts, though it is in one row only.
+    df = spark.range(20_000).select("id", F.format_string("wört%d", "id").alias("body"))
+    model = C.fitted(df, ["body"])
+    assert all(f"wört{i}" in model.words for i in range(20_000)) and "wört20000" not in model.words
+
+
+def test_utf8_that_lost_a_byte_is_not_taken_for_another_encoding(model):
+    assert C.examine("der błÄ\x85d wątek", model).restored == "der błąd wątek"
+
+
 def test_columns(spark):
     words = (DE + " " + FR).split()
     rows = [(i, " ".join(words[i % 9 :: 3]), "Gerät", 1) for i in range(60)]
