@@ -164,10 +164,23 @@ def test_sums_are_those_of_each_token_garbled():
         kept = [k for k, (t, o) in enumerate(zip(made, words)) if t is not None and (c == 0 or t != o)]
         at, starts = C.features([made[k] for k in kept])
         assert (table == np.bincount(at, np.repeat(weight[kept], np.diff(np.append(starts, len(at)))), C.BUCKETS)).all()
-    pairs = [C.letter_pairs(w) for w in words]
+    pairs = [[(ord(a) * 1_000_003 + ord(b)) * 2_654_435_761 % (1 << 32) >> 14 for a, b in zip("\x02" + w.lower(), w.lower() + "\x03")] for w in words]
     assert (letters == np.bincount(sum(pairs, []), np.repeat(weight, list(map(len, pairs))), len(letters))).all()
 
 
+def test_tokens_are_runs_without_blanks():
+    text = "für\tÜber\r\na\xa0b \x0c\x0b  é\n\nplain x\u3000\u2028y\x1cé " + "a" * 100_000 + " ü"
+    assert C.tokens_of(text) == ["für", "Über", "a\xa0b", "é", "x\u3000\u2028y\x1cé", "ü"] and C.tokens_of("") == C.tokens_of(" a ") == []
+
+
+def test_long_runs_of_ascii_take_no_longer_than_others(model):
+    import time
+
+    began, long = time.time(), "a" * 300_000
+    assert C.examine(f"{long} fÃ¼r {long}", model).restored == f"{long} für {long}"
+    assert time.time() - began < 5
+
+
 def test_model_is_of_all_rows(spark):
     words = (DE + " " + FR + " " + RU).split()
     rows = [(i, " ".join(words[i % 9 :: 3]), "größer" * 15 if i % 7 else "fÃ¼r") for i in range(200)]
