@@ -68,11 +68,14 @@ def written_pages(spark: SparkSession, folder: str) -> DataFrame:
         for b in batches:
             for at in b.column(0).to_pylist():
                 for own in os.scandir(f"{root}/at={at}") if os.path.isdir(f"{root}/at={at}") else ():
-                    page = own.name.removeprefix("page=").replace("%2A", "*").replace("%25", "%")
-                    for name in os.listdir(own.path):
-                        if name.startswith((".", "_")):
-                            continue
-                        with open(f"{own.path}/{name}", encoding="utf-8") as file:
+                    if own.name.startswith("page="):
+                        page = own.name.removeprefix("page=").replace("%2A", "*").replace("%25", "%")
+                        files = [f"{own.path}/{name}" for name in os.listdir(own.path) if not name.startswith((".", "_"))]
+                    else:
+                        page = own.name.removeprefix("page-").removesuffix(".txt")
+                        files = [own.path] if own.name.startswith("page-") else []
+                    for path in files:
+                        with open(path, encoding="utf-8") as file:
                             for line in file:
                                 pages.append("" if page == NO_PATH else page)
                                 values.append(line.rstrip("\n"))

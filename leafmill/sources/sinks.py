@@ -44,12 +44,13 @@ def summary_lines(counts: DataFrame) -> DataFrame:
     return counts.select(F.posexplode(lines).alias("line_no", "line"))
 
 
-def write_pages(df: DataFrame, folder: str, out_path: str, html: str) -> None:
+def write_pages(df: DataFrame, folder: str, out_path: str, html: str, folders: bool = True) -> None:
     """Each page as a text in a folder ``page=`` of its own path, encoded so that no two paths have one name (``url_decode`` gives it back).
 
     The folders lie in PAGE_FOLDERS folders ``at=`` by the hash of the path; a task writes whole ones of these, page by page. A row is a line. On local and mounted
     file systems the tasks write the files themselves, each under a hidden name until it is whole, so that a task done again gives the same files; with Spark's
-    own writer and reader of partitions a page took 12 ms there. :func:`readers.written_pages` reads the pages.
+    own writer and reader of partitions a page took 12 ms there. Without ``folders`` the pages lie there as files ``page-`` of their paths, which takes half the disk.
+    :func:`readers.written_pages` reads the pages of either kind.
     """
     page = F.coalesce(F.nullif(F.url_encode(out_path), F.lit("")), F.lit(NO_PATH))
     pages = df.select(F.pmod(F.xxhash64(page), F.lit(PAGE_FOLDERS)).cast("int").alias("at"), page.alias("page"), F.col(html).alias("value")).repartition("at").sortWithinPartitions("at", "page")
@@ -63,19 +64,23 @@ def write_pages(df: DataFrame, folder: str, out_path: str, html: str) -> None:
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hidden = f".part-{TaskContext.get().taskAttemptId()}"
-        file, last, n = None, None, 0
+        file, last, path, n = None, None, "", 0
 
         def done() -> None:
             file.close()
-            os.replace(file.name, os.path.join(os.path.dirname(file.name), "part-0.txt"))
+            os.replace(file.name, path)
 
         for batch in batches:
             for at, page, value in zip(*(c.to_pylist() for c in batch.columns)):
                 if page != last:
                     if file:
                         done()
-                    # Escaped once more, as Spark's own writer does with names of folders and its readers undo.
-                    own = f"{root}/at={at}/page={page.replace('%', '%25').replace('*', '%2A')}"
+                    own = f"{root}/at={at}"
+                    path = f"{own}/page-{page}.txt"
+                    if folders:
+                        # Escaped once more, as Spark's own writer does with names of folders and its readers undo.
+                        own += f"/page={page.replace('%', '%25').replace('*', '%2A')}"
+                        path = f"{own}/part-0.txt"
                     os.makedirs(own, exist_ok=True)
                     file, last = open(os.path.join(own, hidden), "wb", 1 << 16), page
                 file.write((value or "").encode() + b"\n")

@@ -1,5 +1,6 @@
 """Readers and sinks over hand-written files."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from leafmill.sources import readers, sinks
@@ -109,13 +110,15 @@ def test_many_pages_are_written_and_read_in_time(spark, tmp_path):
     assert len(list((tmp_path / "w").rglob("page=*/part*.txt"))) == 3000
 
 
-def test_written_pages_come_back_as_they_were(spark, tmp_path):
+@pytest.mark.parametrize("folders", [True, False])
+def test_written_pages_come_back_as_they_were(spark, tmp_path, folders):
     rows = [("007", "numbers stay texts"), ("7", "x"), ("", "no name"), ("a*b~ +.html", "é – \u2028"), ("twice", "one"), ("twice", "two"), ("null", None)]
     df = spark.createDataFrame(rows, "p string, h string")
     for _ in range(2):  # the second time in place of the first
-        sinks.write_pages(df, str(tmp_path / "w"), "p", "h")
+        sinks.write_pages(df, str(tmp_path / "w"), "p", "h", folders)
     assert sorted(tuple(r) for r in readers.written_pages(spark, str(tmp_path / "w")).collect()) == sorted((p, h or "") for p, h in rows)
     assert len(list((tmp_path / "w").rglob("*.txt"))) == 6 and not list((tmp_path / "w").rglob(".part*"))
+    assert len(list((tmp_path / "w").glob("at=*/*/"))) == (6 if folders else 0)
     sinks.write_pages(df.where("false"), str(tmp_path / "w"), "p", "h")
     assert readers.written_pages(spark, str(tmp_path / "w")).count() == 0
 
